@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from debtloom.plans import snapshot_queries
+from debtloom.plans import drift_queries, snapshot_queries
 
-_MODULES = [snapshot_queries]
+_MODULES = [snapshot_queries, drift_queries]
 
 
 def flagship(spark, sf_dir):
