@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from debtloom.session import settle
+
 #: A removed and an added column whose score stays below are two changes, not a renaming.
 RENAME_SCORE = 0.45
 #: Rounds of flooding at most; it stops earlier once scores move by less than FLOOD_EPS.
@@ -224,7 +226,7 @@ def schema_changes(df: DataFrame, feed: str, file_key: str, file_order: Sequence
     null has no type and is never retyped; an empty table gives no rows. Only schemas, one row a file, are put in order.
     """
     files = df.where(df[feed].isNotNull() & df[file_key].isNotNull()).groupBy(df[file_key]).agg(F.min(df[feed]).alias("__feed"), F.min(F.struct(*[df[o] for o in file_order])).alias("__order"))
-    schemas = with_usage(column_profiles(df, file_key, payload)).groupBy(file_key).agg(F.sort_array(F.collect_list(F.struct("fold", "shown", "json_type", "nested", *_SKETCH, "usage", "beside"))).cast(f"array<{_PROFILE}>").alias("__now"))
+    schemas = with_usage(settle(column_profiles(df, file_key, payload), "profiles")).groupBy(file_key).agg(F.sort_array(F.collect_list(F.struct("fold", "shown", "json_type", "nested", *_SKETCH, "usage", "beside"))).cast(f"array<{_PROFILE}>").alias("__now"))
     run = Window.partitionBy("__feed").orderBy("__order", file_key)
     pairs = files.join(schemas, file_key).withColumn("__before", F.lag("__now").over(run)).where("__before is not null")
     # Nothing to say of files whose columns and types stand as before.
@@ -287,7 +289,7 @@ def unified_table(df: DataFrame, row_keys: Sequence[str], file_key: str, payload
     Rows without any mapped key come out with nulls; where two keys of a row mean one field, a present value wins over null,
     then the smaller key's. Row keys must be unique; payloads that are no JSON object give no row.
     """
-    profiles = column_profiles(df, file_key, payload)
+    profiles = settle(column_profiles(df, file_key, payload), "profiles")
     mapping = key_mapping(profiles, list(fields)).select("fold", "field")
     tagged = df.select(F.struct(*row_keys).alias("__row"), payload)
     each = cells(tagged, "__row", payload).join(mapping, "fold", "left")
