@@ -6,7 +6,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from debtloom.llm.leaks import leaks
-from debtloom.session import table
+from debtloom.llm.packing import pack, token_counts
+from debtloom.llm.sentences import sentence_units
+from debtloom.session import settle, table
+
+
+def p8_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The container of every document, or piece of one, for each capacity."""
+    counts = settle(token_counts(table(spark, sf_dir, "documents"), "doc_id", "text"), "token-counts")
+    return pack(counts, "doc_id", "n_tokens", table(spark, sf_dir, "pack_size"), "pack_id", "capacity_tokens")
+
+
+def p8_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How full the containers are."""
+    each = p8_containers(spark, sf_dir).groupBy("pack_id", "container_id").agg(F.sum(F.col("token_end") - F.col("token_start")).alias("tokens"))
+    sizes = table(spark, sf_dir, "pack_size")
+    total = each.groupBy("pack_id").agg(F.count("*").alias("n_containers"), F.sum("tokens").alias("n_tokens"), F.max("tokens").alias("fullest"))
+    return total.join(sizes, "pack_id").select("pack_id", "capacity_tokens", "n_containers", "n_tokens", "fullest", F.round(F.col("n_tokens") / F.col("n_containers") / F.col("capacity_tokens"), 4).alias("fill"))
 
 
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,8 +30,12 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id")
 
 
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_units(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
 def queries() -> dict:
-    return {"p9_found": p9_found}
+    return {"p8_containers": p8_containers, "p8_fill": p8_fill, "p9_found": p9_found, "p10_found": p10_found}
 
 
 def oracle_sql() -> dict[str, str]:
