@@ -5,12 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from debtloom.llm.addresses import same_place_pairs
 from debtloom.llm.leaks import leaks
 from debtloom.llm.packing import pack, token_counts
 from debtloom.llm.sentences import sentence_units
 from debtloom.session import settle, table
 
 
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return same_place_pairs(table(spark, sf_dir, "creditor"), "address")
+
+
 def p8_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The container of every document, or piece of one, for each capacity."""
     counts = settle(token_counts(table(spark, sf_dir, "documents"), "doc_id", "text"), "token-counts")
@@ -35,7 +40,7 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"p8_containers": p8_containers, "p8_fill": p8_fill, "p9_found": p9_found, "p10_found": p10_found}
+    return {"p6_found": p6_found, "p8_containers": p8_containers, "p8_fill": p8_fill, "p9_found": p9_found, "p10_found": p10_found}
 
 
 def oracle_sql() -> dict[str, str]:
