@@ -7,11 +7,16 @@ from pyspark.sql import functions as F
 
 from debtloom.llm.addresses import same_place_pairs
 from debtloom.llm.leaks import leaks
+from debtloom.llm.variants import variant_pairs
 from debtloom.llm.packing import pack, token_counts
 from debtloom.llm.sentences import sentence_units
 from debtloom.session import settle, table
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variant_pairs([(table(spark, sf_dir, "creditor"), "creditor_name"), (table(spark, sf_dir, "prospect"), "display_name")])
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return same_place_pairs(table(spark, sf_dir, "creditor"), "address")
 
@@ -40,7 +45,7 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"p6_found": p6_found, "p8_containers": p8_containers, "p8_fill": p8_fill, "p9_found": p9_found, "p10_found": p10_found}
+    return {"p3_found": p3_found, "p6_found": p6_found, "p8_containers": p8_containers, "p8_fill": p8_fill, "p9_found": p9_found, "p10_found": p10_found}
 
 
 def oracle_sql() -> dict[str, str]:
