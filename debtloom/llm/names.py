@@ -24,7 +24,7 @@ _ROLES = (
     "works wks wrks;distributors dist distrib;solutions soln solns solution;wholesale wsale whsale;holdings hldgs holding;group grp;trading tdg"
 )
 #: Words for a public body, with abbreviations.
-_BODIES = "shire;council cncl;city cty;regional reg;library lib;university uni univ;water wtr;corporation corp;hills hls;commissioner commr comm comr;office off;department;authority auth;district dist1;taxation;revenue;levies levy;trade;state;government govt"
+_BODIES = "shire;council cncl;city cty;regional reg;library lib;university uni univ;water wtr;corporation corp;hills hls;commissioner commr comm comr;office off;department;authority auth;district dist1;taxation;revenue;levies levy levys;trade;state;government govt"
 #: Given names, with short forms.
 _GIVEN = (
     "francis frank fran;deborah deb debbie;leonard leo len;yvonne von vonnie;nicholas nick nic;william bill will wm;jennifer jen jenny;harold hal harry;margaret maggie marg peg;susannah sue susie zanna;"
@@ -139,6 +139,8 @@ def parse_name(name: str | None) -> Name:
     t = re.sub(r"\s+", " ", t.lower().replace("’", "'")).strip()
     t = _NOTE.sub(" ", t).strip()
     t = re.sub(r"\bp\s*/\s*l\b|\bp l$", " pl ", t).replace("w/sale", "wsale")
+    if any(c.isdigit() for c in t):
+        t = re.sub(r"[a-z\d]+", lambda m: _MISREAD.sub(lambda x: x[0].translate({48: "o", 49: "l", 53: "s"}), m[0]), t)
     partners = _PARTNERS.search(t)
     if partners:
         t = t[: partners.start()] + " " + t[partners.end() :]
@@ -152,9 +154,15 @@ def parse_name(name: str | None) -> Name:
             tokens += [c for c in token if c != "."]
             continue
         token = token.replace(".", "").replace("'", "").replace("&", "").replace("+", "")
-        if any(c.isdigit() for c in token):
-            token = _MISREAD.sub(lambda m: m[0].translate({48: "o", 49: "l", 53: "s"}), token)
         tokens += _parts_of(token) if token else ()
+    if len(tokens) > 2 and len(tokens[-1]) > 1 and tokens[-1] not in _LEGAL and not known_word(tokens[-1]):
+        # The end of a field may cut the last word.
+        if "limited".startswith(tokens[-1]) or "proprietary".startswith(tokens[-1]) or "pty".startswith(tokens[-1]):
+            tokens[-1] = "limited"
+        elif len(tokens[-1]) == 3:
+            longer = [w for w, k in _FULL.items() if w.startswith(tokens[-1]) and k[0] in ("trade", "role")]
+            if len(longer) == 1:
+                tokens[-1] = longer[0]
     legal = any(w in _LEGAL and w not in ("co", "the") for w in tokens)
     words = [w for w in tokens if w not in _LEGAL]
     titled = any(w in _TITLES for w in words)
@@ -164,7 +172,8 @@ def parse_name(name: str | None) -> Name:
     has = {k[0] for _, k in found if k}
     sure = {k[0] for _, k in found if k and not k[2]}
     business = legal or kin or bool(sure & {"trade", "role", "body"}) or len(has & {"trade", "role"}) == 2
-    if not business and (titled or comma or "given" in has):
+    single = [w for w, _ in found if len(w) == 1]
+    if not business and (titled or comma or "given" in has or (single and 0 < len(found) - len(single) <= 2 and len(found[0][0]) == 1)):
         if comma:
             family = [w for w in _words(comma[2]) if w not in _TITLES]
             first = [w for w in _words(comma[3]) if w not in _TITLES]

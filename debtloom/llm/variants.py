@@ -14,12 +14,22 @@ from debtloom.session import settle
 
 #: Least Jaccard similarity of the q-grams of two rare parts, and least weighted similarity of two names.
 GRAM_SIMILARITY, NAME_SIMILARITY = 0.35, 0.78
+#: Rare words with more writings than this are both right if two letters or more part them.
+SEVERAL = 4
+
+
+def letters(c: Column) -> Column:
+    """The letters of a word in the order of the alphabet."""
+    return F.array_join(F.array_sort(F.split(c, "")), "")
 
 
 def near_words(a: Column, b: Column) -> Column:
-    """At most one wrong letter in short words, two from six letters, three from ten."""
-    n = F.greatest(F.length(a), F.length(b))
-    return F.levenshtein(a, b, 3).between(0, F.when(n >= 10, 3).when(n >= 6, 2).otherwise(1))
+    """At most one wrong letter in short words, two from six letters (nine if the first differs), three from eleven with the same first;
+    from six letters on also up to four where the letters are the same but for one, only in another order."""
+    n, d = F.greatest(F.length(a), F.length(b)), F.levenshtein(a, b, 4)
+    first = F.substring(a, 1, 1) == F.substring(b, 1, 1)
+    most = F.when((n >= 11) & first, 3).when((n >= 9) | ((n >= 6) & first), 2).otherwise(1)
+    return (d >= 0) & ((d <= most) | ((n >= 6) & (F.levenshtein(letters(a), letters(b), 1) >= 0)))
 
 
 def _prefixes(units: DataFrame, least: float) -> DataFrame:
@@ -64,7 +74,9 @@ def entities_of_names(columns: Sequence[tuple[DataFrame, str]], least: float = N
     what may be missing (role, middle name). Pairs with near rare words come from ``similar_cores``. Their similarity is the mean
     over parts, each weighed by the logarithm of its rarity among all names, so that rare words count most; equal parts count
     1, initials 0.9, near words the share of letters they have in common; a part missing on one side counts nothing. Pairs from
-    ``least`` on are links, unless given parts contradict each other. A name that lacks the part by which the names it is linked
+    ``least`` on are links, unless given parts contradict each other, or two or more letters part two rare words that are each
+    written in several ways otherwise. Of its links to names with more writings a name keeps the best, so that no misspelling joins two
+    well-known names. A name that lacks the part by which the names it is linked
     to differ belongs to none of them.
 
     Defined cases: null and blank names have no row; names without a rare word are one entity if their parts are equal; repeated rows
@@ -79,10 +91,10 @@ def entities_of_names(columns: Sequence[tuple[DataFrame, str]], least: float = N
     own = nodes.groupBy("u").agg(F.count("*").alias("k")).where("k > 1").select(F.col("u").alias("a"), F.col("u").alias("b"))
     total = F.lit(float(max(1, named.count())))
     rarity = {f: nodes.groupBy("family", F.col(f)).agg(F.log(total / F.sum("n")).alias(f"w_{f}")) for f in ("core", "head", "rest")}
-    weighed = nodes
+    weighed = nodes.join(nodes.groupBy("u").agg(F.sum("n").alias("m")), "u")
     for f, r in rarity.items():
         weighed = weighed.join(r, ["family", f], "left")
-    weighed = settle(weighed.drop("n"), "name-weights")
+    weighed = settle(weighed, "name-weights")
     a, b = weighed.alias("a"), weighed.alias("b")
     x, y = (lambda f: F.col(f"a.{f}")), (lambda f: F.col(f"b.{f}"))
     joined = pairs.unionByName(own).alias("p").join(a, F.col("p.a") == x("u")).join(b, (F.col("p.b") == y("u")) & (x("node") != y("node")) & ((F.col("p.a") != F.col("p.b")) | (x("node") < y("node"))))
@@ -94,17 +106,19 @@ def entities_of_names(columns: Sequence[tuple[DataFrame, str]], least: float = N
     bottom = sum((F.when(alike[f].isNotNull(), weight[f]).otherwise(0.0) for f in alike), F.lit(0.0))
     agree = F.coalesce(agrees(x("head"), y("head")), F.lit(True)) & ((x("family") != "person") | F.coalesce(agrees(x("rest"), y("rest")), F.lit(True)))
     links = joined.where(agree).select(
-        x("node").alias("a"), y("node").alias("b"), F.when(bottom > 0, top / bottom).otherwise(1.0).alias("similarity"),
+        x("node").alias("a"), y("node").alias("b"), x("m").alias("m_a"), y("m").alias("m_b"), x("n").alias("n_a"), y("n").alias("n_b"), (F.levenshtein(x("core"), y("core")) - F.when((letters(x("core")) == letters(y("core"))) & (x("core") != y("core")), 1).otherwise(0)).alias("d"), F.when(bottom > 0, top / bottom).otherwise(1.0).alias("similarity"),
         *[F.struct(*[side(f).alias(f) for f in ("family", "head", "rest")]).alias(f"of_{n}") for n, side in (("a", x), ("b", y))],
-    ).where(F.col("similarity") >= least)
+    ).where((F.col("similarity") >= least) & ((F.col("d") < 2) | (F.least("m_a", "m_b") <= SEVERAL)))
     links = settle(links, "name-links")
     seen = links.select(F.col("a").alias("node"), F.col("of_a").alias("own"), F.col("of_b").alias("other")).unionByName(links.select(F.col("b").alias("node"), F.col("of_b").alias("own"), F.col("of_a").alias("other")))
     full = lambda f: F.when(F.length(f"other.{f}") > 1, F.col(f"other.{f}"))
     lacks = lambda f: F.length(F.first(f"own.{f}")) <= 1
     torn = (lacks("head") & (F.min(full("head")) != F.max(full("head")))) | ((F.first("own.family") == "person") & lacks("rest") & (F.min(full("rest")) != F.max(full("rest"))))
     ambiguous = seen.groupBy("node").agg(F.coalesce(torn, F.lit(False)).alias("torn")).where("torn").select("node")
-    clear = links.select("a", "b").join(ambiguous.withColumnRenamed("node", "a"), "a", "left_anti").join(ambiguous.withColumnRenamed("node", "b"), "b", "left_anti")
-    entities = connected_components(clear, "a", "b")
+    clear = links.join(ambiguous.withColumnRenamed("node", "a"), "a", "left_anti").join(ambiguous.withColumnRenamed("node", "b"), "b", "left_anti")
+    up = F.struct("m_a", "n_a", "a") < F.struct("m_b", "n_b", "b")
+    upward = clear.select(F.when(up, F.col("a")).otherwise(F.col("b")).alias("a"), F.when(up, F.col("b")).otherwise(F.col("a")).alias("b"), F.struct(F.round("similarity", 6).alias("s"), F.when(up, F.col("m_b")).otherwise(F.col("m_a")).alias("m")).alias("by"))
+    entities = connected_components(upward.groupBy("a").agg(F.max_by("b", F.struct("by", "b")).alias("b")), "a", "b")
     return named.select("name", "node").join(entities, "node", "left").select("name", F.coalesce("component", "node").alias("entity"))
 
 
