@@ -7,12 +7,38 @@ from pyspark.sql import functions as F
 
 from debtloom.llm.addresses import same_place_pairs
 from debtloom.llm.leaks import leaks
+from debtloom.functions.canon import acn_canon, digits
+from debtloom.llm.matching import match_entities
 from debtloom.llm.variants import variant_pairs
 from debtloom.llm.packing import pack, token_counts
 from debtloom.llm.sentences import sentence_units
 from debtloom.session import settle, table
 
 
+def company_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Matter rows with the prospects that are the same company, and how sure that is."""
+    prospects, orgs = table(spark, sf_dir, "prospect"), table(spark, sf_dir, "crm_org")
+    linked = prospects.where("pipedrive_org_id is not null").select("prospect_id", F.col("pipedrive_org_id").alias("org_id")).join(orgs, "org_id")
+    policies = prospects.where("policylist_match is not null").select("prospect_id", F.col("policylist_match").alias("policy_name"))
+    clients = policies.join(table(spark, sf_dir, "policy_list").select("policy_name", "client_name"), "policy_name")
+    fields = linked.select("prospect_id", F.explode("custom_fields").alias("field")).where(~F.col("field").contains("@"))
+    of_org = fields.select("prospect_id", digits("field").alias("d")).where(F.length("d").isin(8, 9, 11)).select("prospect_id", F.lpad(F.expr("right(d, 9)"), 9, "0").alias("acn"))
+    of_abn = prospects.select("prospect_id", digits("abn").alias("d")).where("length(d) = 11").select("prospect_id", F.expr("right(d, 9)").alias("acn"))
+    return match_entities(
+        table(spark, sf_dir, "matter"), "matter_row", "company_name", acn_canon(F.col("acn")), prospects, "prospect_id", "display_name",
+        [(linked, "org_name", "org", 1.5), (policies, "policy_name", "policy", 1.0), (clients, "client_name", "client", 0.5)], of_org.unionByName(of_abn), "acn",
+    )
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return company_matches(spark, sf_dir).select("matter_row", "prospect_id")
+
+
+def p2_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The matches with their confidences."""
+    return company_matches(spark, sf_dir)
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variant_pairs([(table(spark, sf_dir, "creditor"), "creditor_name"), (table(spark, sf_dir, "prospect"), "display_name")])
 
@@ -45,7 +71,7 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"p3_found": p3_found, "p6_found": p6_found, "p8_containers": p8_containers, "p8_fill": p8_fill, "p9_found": p9_found, "p10_found": p10_found}
+    return {"p2_found": p2_found, "p2_confidence": p2_confidence, "p3_found": p3_found, "p6_found": p6_found, "p8_containers": p8_containers, "p8_fill": p8_fill, "p9_found": p9_found, "p10_found": p10_found}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -67,11 +67,11 @@ def similar_cores(units: DataFrame, least: float = GRAM_SIMILARITY) -> DataFrame
     return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def entities_of_names(columns: Sequence[tuple[DataFrame, str]], least: float = NAME_SIMILARITY) -> DataFrame:
+def entities_of_names(columns: Sequence[tuple[DataFrame, str]], least: float = NAME_SIMILARITY, pairs_of: Callable[[DataFrame], DataFrame] = similar_cores) -> DataFrame:
     """``name, entity``: every distinct string of the given columns, with one entity for all spellings of one name.
 
     A name's parts are its rare word (the invented word or surname), what tells sisters apart (trade, kind of body, given name) and
-    what may be missing (role, middle name). Pairs with near rare words come from ``similar_cores``. Their similarity is the mean
+    what may be missing (role, middle name). Pairs with near rare words come from ``pairs_of``. Their similarity is the mean
     over parts, each weighed by the logarithm of its rarity among all names, so that rare words count most; equal parts count
     1, initials 0.9, near words the share of letters they have in common; a part missing on one side counts nothing. Pairs from
     ``least`` on are links, unless given parts contradict each other, or two or more letters part two rare words that are each
@@ -87,7 +87,7 @@ def entities_of_names(columns: Sequence[tuple[DataFrame, str]], least: float = N
     part = ["family", "core", "head", "rest"]
     named = settle(named.withColumn("node", F.xxhash64(*part)).withColumn("u", F.xxhash64("family", "core", "head")), "name-parts")
     nodes = settle(named.groupBy("node", "u", *part).agg(F.count("*").alias("n")), "name-nodes")
-    pairs = similar_cores(nodes.where("core != ''").groupBy("u", "family", "core", "head").agg(F.sum("n").alias("n")).drop("n"))
+    pairs = pairs_of(nodes.where("core != ''").groupBy("u", "family", "core", "head").agg(F.sum("n").alias("n")).drop("n"))
     own = nodes.groupBy("u").agg(F.count("*").alias("k")).where("k > 1").select(F.col("u").alias("a"), F.col("u").alias("b"))
     total = F.lit(float(max(1, named.count())))
     rarity = {f: nodes.groupBy("family", F.col(f)).agg(F.log(total / F.sum("n")).alias(f"w_{f}")) for f in ("core", "head", "rest")}
