@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from debtloom.llm.addresses import same_place_pairs
 from debtloom.llm.leaks import leaks
 from debtloom.functions.canon import acn_canon, digits
+from debtloom.llm.history import known_notices
 from debtloom.llm.matching import match_entities
 from debtloom.llm.variants import variant_pairs
 from debtloom.llm.packing import pack, token_counts
@@ -47,6 +48,10 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return same_place_pairs(table(spark, sf_dir, "creditor"), "address")
 
 
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return known_notices(table(spark, sf_dir, "matter_batch"))
+
+
 def p8_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The container of every document, or piece of one, for each capacity."""
     counts = settle(token_counts(table(spark, sf_dir, "documents"), "doc_id", "text"), "token-counts")
@@ -71,7 +76,7 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"p2_found": p2_found, "p2_confidence": p2_confidence, "p3_found": p3_found, "p6_found": p6_found, "p8_containers": p8_containers, "p8_fill": p8_fill, "p9_found": p9_found, "p10_found": p10_found}
+    return {"p2_found": p2_found, "p2_confidence": p2_confidence, "p3_found": p3_found, "p6_found": p6_found, "p7_found": p7_found, "p8_containers": p8_containers, "p8_fill": p8_fill, "p9_found": p9_found, "p10_found": p10_found}
 
 
 def oracle_sql() -> dict[str, str]:

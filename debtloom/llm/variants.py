@@ -108,7 +108,7 @@ def entities_of_names(columns: Sequence[tuple[DataFrame, str]], least: float = N
     links = joined.where(agree).select(
         x("node").alias("a"), y("node").alias("b"), x("m").alias("m_a"), y("m").alias("m_b"), x("n").alias("n_a"), y("n").alias("n_b"), (F.levenshtein(x("core"), y("core")) - F.when((letters(x("core")) == letters(y("core"))) & (x("core") != y("core")), 1).otherwise(0)).alias("d"), F.when(bottom > 0, top / bottom).otherwise(1.0).alias("similarity"),
         *[F.struct(*[side(f).alias(f) for f in ("family", "head", "rest")]).alias(f"of_{n}") for n, side in (("a", x), ("b", y))],
-    ).where((F.col("similarity") >= least) & ((F.col("d") < 2) | (F.least("m_a", "m_b") <= SEVERAL)))
+    ).where((F.col("similarity") >= least) & ((F.col("d") < 2) | (F.least("m_a", "m_b") <= SEVERAL)) & ((F.col("d") < 3) | F.coalesce(agrees(F.col("of_a.rest"), F.col("of_b.rest")), F.lit(False))))
     links = settle(links, "name-links")
     seen = links.select(F.col("a").alias("node"), F.col("of_a").alias("own"), F.col("of_b").alias("other")).unionByName(links.select(F.col("b").alias("node"), F.col("of_b").alias("own"), F.col("of_a").alias("other")))
     full = lambda f: F.when(F.length(f"other.{f}") > 1, F.col(f"other.{f}"))
