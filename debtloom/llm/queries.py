@@ -10,6 +10,7 @@ from debtloom.llm.leaks import leaks
 from debtloom.functions.canon import acn_canon, digits
 from debtloom.llm.history import known_notices
 from debtloom.llm.matching import match_entities
+from debtloom.llm.truth import judged_rows
 from debtloom.llm.variants import variant_pairs
 from debtloom.llm.packing import pack, token_counts
 from debtloom.llm.sentences import sentence_units
@@ -44,6 +45,18 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variant_pairs([(table(spark, sf_dir, "creditor"), "creditor_name"), (table(spark, sf_dir, "prospect"), "display_name")])
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = judged_rows(table(spark, sf_dir, "matter"))
+    return judged.where("value != true_value").select("matter_row", "field_name").distinct()
+
+
+def p4_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One record per company with its true present values."""
+    judged = judged_rows(table(spark, sf_dir, "matter"))
+    one = judged.groupBy("company").agg(F.count_distinct("matter_row").alias("n_rows"), *[F.max(F.when(F.col("field_name") == f, F.col("true_value"))).alias(f) for f in ("acn", "practitioner", "industry", "appointment_type")])
+    return one
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return same_place_pairs(table(spark, sf_dir, "creditor"), "address")
 
@@ -76,7 +89,7 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"p2_found": p2_found, "p2_confidence": p2_confidence, "p3_found": p3_found, "p6_found": p6_found, "p7_found": p7_found, "p8_containers": p8_containers, "p8_fill": p8_fill, "p9_found": p9_found, "p10_found": p10_found}
+    return {"p2_found": p2_found, "p2_confidence": p2_confidence, "p3_found": p3_found, "p4_found": p4_found, "p4_records": p4_records, "p6_found": p6_found, "p7_found": p7_found, "p8_containers": p8_containers, "p8_fill": p8_fill, "p9_found": p9_found, "p10_found": p10_found}
 
 
 def oracle_sql() -> dict[str, str]:
