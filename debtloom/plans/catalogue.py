@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from debtloom.plans import drift_queries, snapshot_queries
+from debtloom.plans import drift_queries, roll_queries, snapshot_queries, state_queries
 
-_MODULES = [snapshot_queries, drift_queries]
+_MODULES = [roll_queries, state_queries, snapshot_queries, drift_queries]
 
 
 def flagship(spark, sf_dir):
-    return snapshot_queries.p1_found(spark, sf_dir)
+    return roll_queries.prospect_rollup(spark, sf_dir)
 
 
 def queries() -> dict:
