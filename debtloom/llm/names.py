@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from typing import NamedTuple
 
@@ -237,6 +237,20 @@ def parse_name(name: str | None) -> Name:
     return Name("company" if trades or roles or legal or kin else "other", text, trades[0] if trades else "", roles[0] if roles else "")
 
 
+@lru_cache(maxsize=100_000)
+def parse_person(name: str | None) -> Name:
+    """The parts of what is known to be a person's name: the surname is before a comma, else the last word."""
+    found = parse_name(name)
+    if found.kind == "person" or not name:
+        return found
+    before, comma, behind = name.lower().partition(",")
+    words = [w for w in _words(f"{behind} {before}" if comma else before) if w not in _TITLES]
+    if not words:
+        return found
+    given = [k[1] if (k := known_word(w)) and k[0] == "given" and len(w) > 1 else w for w in words[:-1]]
+    return Name("person", words[-1], given[0] if given else "", given[1] if len(given) > 1 else "")
+
+
 def _words(t: str) -> list[str]:
     return [w for w in (x.strip(".'") for x in re.split(r"[^\w']+|_", t)) if w]
 
@@ -244,13 +258,13 @@ def _words(t: str) -> list[str]:
 NAME_FIELDS = "kind string, core string, head string, rest string"
 
 
-def with_name_parts(df: DataFrame, key: str, name: str) -> DataFrame:
+def with_name_parts(df: DataFrame, key: str, name: str, parser: Callable[[str | None], Name] = parse_name) -> DataFrame:
     """``key`` and the parts of ``name``, parsed in Arrow batches. Null names have empty parts."""
     only = df.select(F.col(key).alias("k"), F.col(name).alias("n"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [parse_name(n) for n in batch.column(1).to_pylist()]
+            rows = [parser(n) for n in batch.column(1).to_pylist()]
             columns = list(zip(*rows)) if rows else [[]] * 4
             yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(list(c), pa.string()) for c in columns]], ["k", "kind", "core", "head", "rest"])
 

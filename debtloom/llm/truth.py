@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from debtloom.functions.canon import acn_canon, date_canon, present, squeeze, type_canon
 from debtloom.llm.graph import connected_components
 from debtloom.llm.matching import bit_vector, dice
-from debtloom.llm.names import agrees, with_name_parts
+from debtloom.llm.names import agrees, parse_person, with_name_parts
 from debtloom.llm.variants import entities_of_names
 from debtloom.session import settle
 
@@ -186,7 +186,7 @@ def canonical_fields(matter: DataFrame) -> DataFrame:
         "matter_row", "source", date_canon(F.col("last_checked")).alias("day"), F.when(present(F.col("acn")).isNotNull(), acn_canon(F.col("acn"))).alias("acn"), present(F.col("practitioner")).alias("who"),
         F.lower(present(F.col("industry"))).alias("industry"), F.when(present(F.col("appointment_type")).isNotNull(), type_canon(F.col("appointment_type"))).alias("appointment_type"),
     )
-    people = with_name_parts(base.select("who").where("who is not null").distinct(), "who", "who")
+    people = with_name_parts(base.select("who").where("who is not null").distinct(), "who", "who", parse_person)
     return base.join(people, "who", "left").withColumn("practitioner", F.when(F.col("who").isNotNull(), F.concat_ws("|", "core", F.substring("head", 1, 1))))
 
 
