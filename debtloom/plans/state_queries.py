@@ -46,7 +46,7 @@ def _ledger_sql(last: str) -> str:
 def replace_by_matter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Debts of one feed, those of matters in the other feed replaced."""
     c = table(spark, sf_dir, "creditor").select("matter_id", "creditor_id", "source", "amount_aud")
-    kept = replace_by_key(c.where("source = 'asic'"), c.where("source = 'worrells'"), "matter_id")
+    kept = replace_by_key(c.where("source = 'asic'"), c.where("source <> 'asic'"), "matter_id")
     return kept.groupBy("source").agg(F.count("*").alias("n"), F.count_distinct("matter_id").alias("n_matters"), F.sum(F.col("amount_aud").cast("decimal(18,2)")).cast("double").alias("total"))
 
 
@@ -256,7 +256,7 @@ g AS (SELECT *, (has_heading AND n_yes_no >= 2) OR (n_yes_no >= 2 AND n_money >=
     return {
         "ledger_merge": f"""WITH k AS ({_ledger_sql('min')}), f AS ({_ledger_sql('max')})
 SELECT coalesce(k.matter_id, f.matter_id) AS matter_id, {fill}, CASE WHEN f.matter_id IS NOT NULL THEN '{AS_OF}' END AS last_seen, k.matter_id IS NULL AS is_new FROM k FULL OUTER JOIN f ON k.matter_id = f.matter_id""",
-        "replace_by_matter": """WITH w AS (SELECT * FROM creditor WHERE source = 'worrells'), r AS (SELECT * FROM creditor WHERE source = 'asic' AND (matter_id IS NULL OR matter_id NOT IN (SELECT matter_id FROM w WHERE matter_id IS NOT NULL)) UNION ALL SELECT * FROM w)
+        "replace_by_matter": """WITH w AS (SELECT * FROM creditor WHERE source <> 'asic'), r AS (SELECT * FROM creditor WHERE source = 'asic' AND (matter_id IS NULL OR matter_id NOT IN (SELECT matter_id FROM w WHERE matter_id IS NOT NULL)) UNION ALL SELECT * FROM w)
 SELECT source, count(*) AS n, count(DISTINCT matter_id) AS n_matters, CAST(sum(CAST(amount_aud AS DECIMAL(18, 2))) AS DOUBLE) AS total FROM r GROUP BY 1""",
         "open_matters": f"""SELECT matter_row, matter_id, source, first_seen, document_status FROM matter WHERE NOT coalesce(creditors_captured, false) AND {in_days(120)} AND coalesce(document_status, '') NOT IN ('no-section', 'scanned')""",
         "purchase_queue": f"SELECT matter_row, matter_id, company_name, {acn} AS acn, form_5604_doc_number FROM matter WHERE coalesce(form_5604_lodged, false) AND NOT coalesce(form_5604_purchased, false) AND NOT coalesce(creditors_captured, false)",
