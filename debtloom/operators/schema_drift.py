@@ -203,7 +203,7 @@ def compare_schemas(before: Sequence[Mapping], now: Sequence[Mapping], least: fl
     return out
 
 
-def with_usage(profiles: DataFrame) -> DataFrame:
+def with_usage(profiles: DataFrame, file_key: str) -> DataFrame:
     """Adds what all files say of a column's key: ``usage``, the sketch of its values, one entry per JSON type; ``beside``, the keys
     it stands beside in some file. Keys of one meaning are not used side by side. Equal schemas are put together before pairs of keys are made.
     """
@@ -212,7 +212,6 @@ def with_usage(profiles: DataFrame) -> DataFrame:
         F.sum("n_values").alias("n_values"), *[mean(c) for c in _SKETCH[1:5]], *[F.bit_or(c).alias(c) for c in _SKETCH[5:]]
     )
     usage = by_type.groupBy("fold").agg(F.sort_array(F.collect_list(F.struct("json_type", *_SKETCH))).alias("usage"))
-    file_key = next(c for c in profiles.columns if c not in {"fold", "shown", "json_type", "nested", "n_rows", *_SKETCH})
     shapes = profiles.groupBy(file_key).agg(F.sort_array(F.collect_list("fold")).alias("all")).select("all").distinct()
     beside = shapes.select(F.explode("all").alias("fold"), "all").select("fold", F.explode("all").alias("other")).where("fold != other").groupBy("fold").agg(F.sort_array(F.collect_set("other")).alias("beside"))
     return profiles.join(usage.join(beside, "fold", "full_outer"), "fold", "left")
@@ -226,7 +225,7 @@ def schema_changes(df: DataFrame, feed: str, file_key: str, file_order: Sequence
     null has no type and is never retyped; an empty table gives no rows. Only schemas, one row a file, are put in order.
     """
     files = df.where(df[feed].isNotNull() & df[file_key].isNotNull()).groupBy(df[file_key]).agg(F.min(df[feed]).alias("__feed"), F.min(F.struct(*[df[o] for o in file_order])).alias("__order"))
-    schemas = with_usage(settle(column_profiles(df, file_key, payload), "profiles")).groupBy(file_key).agg(F.sort_array(F.collect_list(F.struct("fold", "shown", "json_type", "nested", *_SKETCH, "usage", "beside"))).cast(f"array<{_PROFILE}>").alias("__now"))
+    schemas = with_usage(settle(column_profiles(df, file_key, payload), "profiles"), file_key).groupBy(file_key).agg(F.sort_array(F.collect_list(F.struct("fold", "shown", "json_type", "nested", *_SKETCH, "usage", "beside"))).cast(f"array<{_PROFILE}>").alias("__now"))
     run = Window.partitionBy("__feed").orderBy("__order", file_key)
     pairs = files.join(schemas, file_key).withColumn("__before", F.lag("__now").over(run)).where("__before is not null")
     # Nothing to say of files whose columns and types stand as before.
@@ -252,7 +251,7 @@ def _leaf(value: Column, kind: Column) -> Column:
     return F.when(kind == "object", F.coalesce(F.when(part("y").isNotNull(), F.concat_ws("-", part("y"), part("m"), part("d"))), longest)).when(kind == "array", first).otherwise(value)
 
 
-def key_mapping(profiles: DataFrame, fields: Sequence[str], least: float = RENAME_SCORE) -> DataFrame:
+def key_mapping(profiles: DataFrame, file_key: str, fields: Sequence[str], least: float = RENAME_SCORE) -> DataFrame:
     """``fold, field, score``: which field of the wanted table each key of any file stands for.
 
     The wanted fields take their content from the keys of their own name; every other key is flooded against them, and keys
@@ -260,7 +259,7 @@ def key_mapping(profiles: DataFrame, fields: Sequence[str], least: float = RENAM
     per field of the wanted schema, are all that the driver holds.
     """
     named = dict(zip([re.sub(r"[\s_]+", "", f.lower()) for f in fields], fields))
-    vocabulary = with_usage(profiles).groupBy("fold").agg(
+    vocabulary = with_usage(profiles, file_key).groupBy("fold").agg(
         F.max("shown").alias("shown"), F.first("usage").alias("usage"), F.first("beside").alias("beside"), F.max("nested").alias("nested"), F.max_by("json_type", "n_values").alias("json_type"),
         *[F.max_by(c, F.struct("n_values", c)).alias(c) for c in _SKETCH],
     )
@@ -290,7 +289,7 @@ def unified_table(df: DataFrame, row_keys: Sequence[str], file_key: str, payload
     then the smaller key's. Row keys must be unique; payloads that are no JSON object give no row.
     """
     profiles = settle(column_profiles(df, file_key, payload), "profiles")
-    mapping = key_mapping(profiles, list(fields)).select("fold", "field")
+    mapping = key_mapping(profiles, file_key, list(fields)).select("fold", "field")
     tagged = df.select(F.struct(*row_keys).alias("__row"), payload)
     each = cells(tagged, "__row", payload).join(mapping, "fold", "left")
     text = F.when(F.col("kind") != "null", _leaf(F.col("value"), F.col("kind")))
