@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from debtloom.llm.names import agrees, grams, with_name_parts
@@ -78,7 +78,7 @@ def hamming_cores(left: DataFrame, units: DataFrame, radius: int = RADIUS) -> Da
     a, b = keyed(left, True).alias("a"), keyed(units, False).alias("b")
     x, y = (lambda f: F.col(f"a.{f}")), (lambda f: F.col(f"b.{f}"))
     close = (x("key") == y("key")) & (x("c") == y("c")) & (x("family") == y("family")) & (x("u") != y("u")) & (F.bit_count(x("v").bitwiseXOR(y("v"))) <= radius)
-    found = a.join(b, close).where(near_words(x("core"), y("core"))).select(x("u").alias("a"), y("u").alias("b"))
+    found = a.join(b.hint("merge"), close).where(near_words(x("core"), y("core"))).select(x("u").alias("a"), y("u").alias("b"))
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -104,33 +104,42 @@ def calibrated(scored: DataFrame, score: str, label: str, bins: int = 40) -> Dat
 
 
 def match_entities(
-    left: DataFrame, left_id: str, left_name: str, left_number: Column, right: DataFrame, right_id: str, right_name: str, aliases: Sequence[tuple[DataFrame, str, str, float]], numbers: DataFrame, number_column: str, least: float = 0.5
+    left: DataFrame, left_id: str, left_name: str, left_number: Column, right: DataFrame, right_id: str, right_name: str, aliases: Sequence[tuple[DataFrame, str, str, float]], numbers: DataFrame, number_column: str, least: float = 0.5,
+    check: tuple[str, str] | None = None,
 ) -> DataFrame:
     """``left_id, right_id, confidence``: rows of two sources that stand for the same entity.
 
     ``aliases`` are further names of right rows: a DataFrame with ``right_id``, the column of the name, a label and its weight; ``numbers`` has
     identifiers of right rows. Names are parsed; the bigrams of their rare words are vectors of 64 bits, compared by ``hamming_cores``, and
-    names found near each other form entities (see ``entities_of_names``). A left and a right row are candidates if their names, or an alias near
-    the right row's own name, are of one entity, or if their numbers are equal and their names similar.
+    names found near each other form entities (see ``entities_of_names``). A left and a right row are candidates by each of these routes:
 
-    A candidate's score is the mean of the Dice coefficients of its fields, weighed by field, with the number as a field of its
-    own where both have one. Scores become confidences by the share of equal numbers among all candidates that have two; those of at
-    least ``least`` are returned.
+    * ``own``: their names are of one entity (or their numbers are equal, or an alias is of the left row's entity, and the names similar);
+    * each label of ``aliases``: the left row's name and an alias of the right row, however unlike its own name, are of one entity;
+    * ``number``: the left row's entity has a number of the right row, whatever the names. Its score is
+      Dice's coefficient of the entity's numbered rows and the number's, less where entities share the number; a number that a right row of that entity's name holds too is that row's.
+
+    Right rows whose names are of one entity are one company and share their aliases and numbers. Along ``own`` a score is the mean of the Dice
+    coefficients of the fields, weighed by field, with the number as a field of its own where both have one, and becomes a confidence by the share
+    of equal numbers among all candidates that have two. Along an alias the score is that of the best field; there and by number the confidence is the score
+    times the share of true pairs of the route: ``check`` names a left and a right column that agree for one company, and the share is what
+    their agreement exceeds chance by (1 without ``check``). A pair has the best confidence of its routes; those of at least ``least`` are returned.
 
     Defined cases: rows with a null id or name match nothing; repeated rows match like the first; empty tables give no rows.
     """
     kinds = [left_id, right_id]
     lrows = left.select(F.col(left_id).alias("l"), F.col(left_name).alias("name"), left_number.alias("number")).where("l is not null and length(trim(name)) > 0").distinct()
     rrows = right.select(F.col(right_id).alias("r"), F.col(right_name).alias("name")).where("r is not null and length(trim(name)) > 0").distinct()
-    others = reduce(DataFrame.unionByName, [df.select(F.col(right_id).alias("r"), F.col(c).alias("name"), F.lit(w).alias("w")) for df, c, _, w in aliases]).where("r is not null and length(trim(name)) > 0").distinct()
+    others = reduce(DataFrame.unionByName, [df.select(F.col(right_id).alias("r"), F.col(c).alias("name"), F.lit(label).alias("route"), F.lit(w).alias("w")) for df, c, label, w in aliases]).where("r is not null and length(trim(name)) > 0").distinct()
     ids = numbers.select(F.col(right_id).alias("r"), F.col(number_column).alias("number")).where("r is not null and number is not null").distinct()
-    lnames = settle(with_name_parts(lrows.select("name").distinct(), "name", "name"), "left-names")
+    # Spellings are sought of left names, and of right rows that lead on: what one spelling leads to holds for all.
+    leading = rrows.join(others.select("r").unionByName(ids.select("r")).distinct(), "r", "left_semi")
+    lnames = settle(with_name_parts(lrows.select("name").unionByName(leading.select("name")).distinct(), "name", "name"), "left-names")
     lunits = lnames.withColumn("family", F.when(F.col("kind").isin("person", "body"), F.col("kind")).otherwise("company")).select(F.xxhash64("family", "core", "head").alias("u"), "family", "core", "head").where("core != ''").distinct()
     entities = settle(entities_of_names([(lrows, "name"), (rrows, "name"), (others, "name")], pairs_of=lambda units: hamming_cores(lunits, units)), "entities")
     parts = settle(with_name_parts(entities.select("name"), "name", "name").select("name", bit_vector(F.col("core")).alias("v"), "head").join(entities, "name"), "entity-names")
     l = lrows.join(parts, "name").select("l", "number", F.col("v").alias("lv"), F.col("head").alias("lh"), F.col("entity").alias("e"))
     r = rrows.join(parts, "name").select("r", F.col("v").alias("rv"), F.col("head").alias("rh"), F.col("entity").alias("e"))
-    o = others.join(parts, "name").select("r", "w", F.col("v").alias("ov"), F.col("head").alias("oh"), F.col("entity").alias("e"))
+    o = others.join(parts, "name").select("r", "route", "w", F.col("v").alias("ov"), F.col("head").alias("oh"), F.col("entity").alias("e"))
     l, r = settle(l, "left-rows"), settle(r, "right-rows")
     by_name = l.select("l", "e").join(r.select("r", "e"), "e").select("l", "r")
     # Another name of a right row counts where its own name could be a misspelling of it.
@@ -150,4 +159,40 @@ def match_entities(
         "l", "r", (F.col("equal") == 1).alias("label"),
         ((3 * F.col("own") + F.coalesce("top", F.lit(0.0)) + F.when(F.col("equal") == 1, 2.0).otherwise(0.0)) / (3 + F.coalesce("bottom", F.lit(0.0)) + F.when(F.col("equal") == 1, 2.0).otherwise(0.0))).alias("score"),
     )
-    return calibrated(settle(scored, "scored"), "score", "label").where(F.col("confidence") >= least).select(F.col("l").alias(kinds[0]), F.col("r").alias(kinds[1]), "confidence")
+    by_own = calibrated(settle(scored, "scored"), "score", "label").select("l", "r", "confidence")
+    members = r.select("r", F.col("e").alias("re")).distinct()
+    links = o.join(members, "r").select("re", "route", F.col("e"), "ov").distinct()
+    leads = l.join(links, "e").groupBy("l", "re", "route").agg(F.max(F.greatest(F.coalesce(dice(F.col("lv"), F.col("ov")), F.lit(0.0)), F.lit(0.75))).alias("score"))
+    leads, numbered = settle(leads, "by-alias"), settle(_by_number(l, members, ids), "by-number")
+    routes = leads.unionByName(numbered).join(members, "re").select("l", "r", "route", "score")
+    found = by_own.unionByName(_weighed_routes(settle(routes, "routes"), left, left_id, right, right_id, check))
+    return found.groupBy("l", "r").agg(F.max("confidence").alias("confidence")).where(F.col("confidence") >= least).select(F.col("l").alias(kinds[0]), F.col("r").alias(kinds[1]), "confidence")
+
+
+def _by_number(l: DataFrame, members: DataFrame, ids: DataFrame) -> DataFrame:
+    """``l, re, route, score``: left rows whose entity has a number of the right entity ``re``."""
+    known = l.where("number is not null").select("l", "number", "e").distinct()
+    shares = known.groupBy("number", "e").agg(F.count("*").alias("n")).join(known.groupBy("number").agg(F.count("*").alias("n_number")), "number").join(known.groupBy("e").agg(F.count("*").alias("n_entity")), "e")
+    # A number is one company's: what its entities have beyond the whole is taken from each in proportion.
+    shares = shares.withColumn("score", 2 * F.col("n") / (F.col("n_number") + F.col("n_entity")))
+    shares = shares.join(shares.groupBy("number").agg(F.sum("score").alias("all")), "number").select("number", "e", (F.col("score") / F.greatest(F.lit(1.0), F.col("all"))).alias("score"))
+    held = ids.join(members, "r").select("number", "re").distinct()
+    each = held.join(shares, "number")
+    named = each.where("re = e").select("number", "e").distinct()
+    best = each.join(named, ["number", "e"], "left_anti").groupBy("re", "e").agg(F.max("score").alias("score"))
+    return l.select("l", "e").distinct().join(best, "e").select("l", "re", F.lit("number").alias("route"), "score")
+
+
+def _weighed_routes(routes: DataFrame, left: DataFrame, left_id: str, right: DataFrame, right_id: str, check: tuple[str, str] | None) -> DataFrame:
+    """``l, r, confidence``: the scores times each route's share of true pairs, which agree in ``check`` where others do by chance."""
+    if check is None:
+        return routes.select("l", "r", F.col("score").alias("confidence"))
+    value = lambda df, row, c, to: df.select(F.col(row).alias(to), F.upper(F.trim(c)).alias(f"{to}_value")).where(f"length({to}_value) > 0").distinct()
+    a, b = value(left, left_id, check[0], "l"), value(right, right_id, check[1], "r")
+    spread = lambda df, c: df.groupBy(F.col(c).alias("value")).agg(F.count("*").alias("n")).select("value", (F.col("n") / F.sum("n").over(Window.partitionBy(F.lit(0)))).alias(c))
+    chance = spread(a, "l_value").join(spread(b, "r_value"), "value").agg(F.coalesce(F.sum(F.col("l_value") * F.col("r_value")), F.lit(0.0))).first()[0]
+    agreed = routes.join(a, "l").join(b, "r").groupBy("route").agg(F.avg((F.col("l_value") == F.col("r_value")).cast("double")).alias("share"), F.count("*").alias("n"))
+    # One pair more that agrees, where there are few.
+    share = (F.col("share") * F.col("n") + 1) / (F.col("n") + 1)
+    trust = agreed.select("route", F.greatest(F.lit(0.0), F.try_divide(share - chance, F.lit(1.0 - chance))).alias("trust"))
+    return routes.join(trust, "route", "left").select("l", "r", (F.col("score") * F.coalesce("trust", F.lit(1.0))).alias("confidence"))

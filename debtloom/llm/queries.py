@@ -24,11 +24,12 @@ def company_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     policies = prospects.where("policylist_match is not null").select("prospect_id", F.col("policylist_match").alias("policy_name"))
     clients = policies.join(table(spark, sf_dir, "policy_list").select("policy_name", "client_name"), "policy_name")
     fields = linked.select("prospect_id", F.explode("custom_fields").alias("field")).where(~F.col("field").contains("@"))
+    named = fields.where(~F.col("field").rlike(r"(?i)^(https?://|www\.)") & ~F.coalesce(F.length(digits("field")), F.lit(0)).isin(8, 9, 11) & F.col("field").rlike("[A-Za-z]{3}"))
     of_org = fields.select("prospect_id", digits("field").alias("d")).where(F.length("d").isin(8, 9, 11)).select("prospect_id", F.lpad(F.expr("right(d, 9)"), 9, "0").alias("acn"))
     of_abn = prospects.select("prospect_id", digits("abn").alias("d")).where("length(d) = 11").select("prospect_id", F.expr("right(d, 9)").alias("acn"))
     return match_entities(
         table(spark, sf_dir, "matter"), "matter_row", "company_name", acn_canon(F.col("acn")), prospects, "prospect_id", "display_name",
-        [(linked, "org_name", "org", 1.5), (policies, "policy_name", "policy", 1.0), (clients, "client_name", "client", 0.5)], of_org.unionByName(of_abn), "acn",
+        [(linked, "org_name", "org", 1.5), (policies, "policy_name", "policy", 1.0), (clients, "client_name", "client", 0.5), (named, "field", "field", 0.5)], of_org.unionByName(of_abn), "acn", check=("state", "state"),
     )
 
 

@@ -115,6 +115,33 @@ def test_matches(spark):
     assert match_entities(left.limit(0), "l", "n", F.col("acn"), right, "r", "d", [(alias, "o", "org", 1.0)], numbers, "number").count() == 0
 
 
+def test_matches_by_what_the_lookups_lead_to(spark):
+    left = spark.createDataFrame([(1, "Finch Foods Pty Ltd", None, "NSW"), (2, "Mallow Steel Pty Ltd", "123", "SA"), (3, "Mallow Stl P/L", None, "SA"), (4, "Yarrow Glass", "77", "WA"), (5, "Sorrel Tiles", "77", "WA"), (6, "Sorrel Tiles", "88", "WA")], "l int, n string, acn string, state string")
+    right = spark.createDataFrame([(10, "Larkspur Timber Pty Ltd", "NSW"), (11, "LARKSPRU TIMBER", None), (12, "Bramble Marine", "SA"), (13, "Teasel Hire", "WA"), (14, "Clover Fuel", "QLD")], "r int, d string, state string")
+    alias = spark.createDataFrame([(10, "Finch Fds P/L"), (14, "Ada Finch")], "r int, o string")
+    numbers = spark.createDataFrame([(12, "123"), (13, "77")], "r int, number string")
+    args = (left, "l", "n", F.col("acn"), right, "r", "d", [(alias, "o", "client", 0.5)], numbers, "number")
+    got = {(x.l, x.r): x.confidence for x in match_entities(*args, check=("state", "state")).collect()}
+    # A name unlike the row's own, by an alias of any spelling of the row, and a number's company with all its rows.
+    assert set(got) == {(1, 10), (1, 11), (2, 12), (3, 12), (4, 13)} and all(0.5 <= c <= 1 for c in got.values())
+    # A route whose pairs never agree is not trusted.
+    wrong = match_entities(left.withColumn("state", F.lit("TAS")), *args[1:], check=("state", "state"), least=0.0).collect()
+    assert {(x.l, x.r) for x in wrong} >= set(got) and all(x.confidence < 0.5 for x in wrong if x.r == 13)
+
+
+def test_names_in_custom_fields_lead_to_companies(spark, tmp_path):
+    from debtloom.llm.queries import p2_found
+
+    for name, rows, schema in [
+        ("matter", [(1, "Finch Foods Pty Ltd", None, "NSW")], "matter_row bigint, company_name string, acn string, state string"),
+        ("prospect", [(10, "Larkspur Timber", None, 5, None, "NSW"), (11, "Clover Fuel", "none", None, None, None)], "prospect_id bigint, display_name string, policylist_match string, pipedrive_org_id bigint, abn string, state string"),
+        ("crm_org", [(5, "Larkspur Tmbr", ["www.larkspur.invalid", "Finch Fds P/L", "accounts@larkspur.invalid", None])], "org_id bigint, org_name string, custom_fields array<string>"),
+        ("policy_list", [("P1", "x", "y")], "policy_no string, policy_name string, client_name string"),
+    ]:
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    assert [tuple(r) for r in p2_found(spark, str(tmp_path)).collect()] == [(1, 10)]
+
+
 PLACES = [
     "Level 41, 227 Larkspur Court, Mallow Park QLD 4375", "Lvl41/227 Larkspur Crt, Mallow Pk QLD", "LVL 41, NO. 227 LARKSPRU CT\nMALLOW PARK 4375", "41/227 Larkspur Ct, Mallow Park 4375 QLD AUST", "Mallow Pk QLD, C/- Registered Office, Level 41, 227 Larkspur Court",
     "227 Larkspur Court, Mallow Park QLD 4375", "Level 42, 227 Larkspur Court, Mallow Park QLD 4375", "Level 41, 227 Larkspur Lane, Mallow Park QLD 4375", "Level 41, 227A Larkspur Court, Mallow Park QLD 4375",
