@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -101,7 +102,8 @@ def _opens(text: str, at: int, end: int) -> str:
         return "yes" if nxt < end and not text[nxt].islower() or c in "¿¡" else ""
     if c.isdigit():
         return "digit"
-    return "yes" if c in "$€£¥₹" else ""
+    # Other symbols (So: emoji, arrows, ticks) stand before words, not inside a sentence's run of text.
+    return "yes" if unicodedata.category(c) in ("Sc", "So") else ""
 
 
 def _caseless(text: str, a: int, end: int) -> bool:
@@ -154,7 +156,7 @@ def _after_full_stop(text: str, a: int, dot: int, end: int) -> bool:
         core = re.split("['’]", core)[-1]
     low = core.lower()
     if low in NEVER:
-        return low == "st" and not re.search(r"\bNo\. \d+\w? \S+ $", text[max(a, dot - 60) : dot - 2]) and how != "digit" and bool(re.search(r"\d\w? (?:\S+ ){1,2}$", text[max(a, dot - 60) : dot - 2]))
+        return low == "st" and not re.search(r"\bNo\.\s+\d+\w?\s+\S+\s+$", text[max(a, dot - 60) : dot - 2]) and how != "digit" and bool(re.search(r"\d\w?\s+(?:\S+\s+){1,2}$", text[max(a, dot - 60) : dot - 2]))
     if low in BEFORE_NUMBER and (how == "digit" or re.match(r"[A-Z]{1,2}[.\d/]", text[at : at + 4])):
         return False
     if "." in core:
