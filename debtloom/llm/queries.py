@@ -10,7 +10,7 @@ from debtloom.llm.leaks import leaks
 from debtloom.functions.canon import acn_canon, digits
 from debtloom.llm.history import known_notices
 from debtloom.llm.matching import match_entities
-from debtloom.llm.truth import judged_rows
+from debtloom.llm.truth import best_records, judged_rows
 from debtloom.llm.variants import variant_pairs
 from debtloom.llm.packing import pack, token_counts
 from debtloom.llm.sentences import sentence_units
@@ -52,10 +52,8 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p4_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One record per company with its true present values."""
-    judged = judged_rows(table(spark, sf_dir, "matter"))
-    one = judged.groupBy("company").agg(F.count_distinct("matter_row").alias("n_rows"), *[F.max(F.when(F.col("field_name") == f, F.col("true_value"))).alias(f) for f in ("acn", "practitioner", "industry", "appointment_type")])
-    return one
+    """One record per company with its true present values and all its states."""
+    return best_records(table(spark, sf_dir, "matter"))
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:

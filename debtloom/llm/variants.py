@@ -68,7 +68,13 @@ def similar_cores(units: DataFrame, least: float = GRAM_SIMILARITY) -> DataFrame
 
 
 def entities_of_names(columns: Sequence[tuple[DataFrame, str]], least: float = NAME_SIMILARITY, pairs_of: Callable[[DataFrame], DataFrame] = similar_cores) -> DataFrame:
-    """``name, entity``: every distinct string of the given columns, with one entity for all spellings of one name.
+    """``name, entity``: as ``parsed_entities``, without the parts."""
+    return parsed_entities(columns, least, pairs_of).select("name", "entity")
+
+
+def parsed_entities(columns: Sequence[tuple[DataFrame, str]], least: float = NAME_SIMILARITY, pairs_of: Callable[[DataFrame], DataFrame] = similar_cores) -> DataFrame:
+    """``name, entity, node, u, family, core, head, rest``: every distinct string of the given columns, with one entity for all spellings of one
+    name; ``node`` stands for equal parts, ``u`` for equal parts but ``rest``.
 
     A name's parts are its rare word (the invented word or surname), what tells sisters apart (trade, kind of body, given name) and
     what may be missing (role, middle name). Pairs with near rare words come from ``pairs_of``. Their similarity is the mean
@@ -119,7 +125,7 @@ def entities_of_names(columns: Sequence[tuple[DataFrame, str]], least: float = N
     up = F.struct("m_a", "n_a", "a") < F.struct("m_b", "n_b", "b")
     upward = clear.select(F.when(up, F.col("a")).otherwise(F.col("b")).alias("a"), F.when(up, F.col("b")).otherwise(F.col("a")).alias("b"), F.struct(F.round("similarity", 6).alias("s"), F.when(up, F.col("m_b")).otherwise(F.col("m_a")).alias("m")).alias("by"))
     entities = connected_components(upward.groupBy("a").agg(F.max_by("b", F.struct("by", "b")).alias("b")), "a", "b")
-    return named.select("name", "node").join(entities, "node", "left").select("name", F.coalesce("component", "node").alias("entity"))
+    return named.join(entities, "node", "left").select("name", F.coalesce("component", "node").alias("entity"), "node", "u", *part)
 
 
 def variant_pairs(columns: Sequence[tuple[DataFrame, str]], least: float = NAME_SIMILARITY) -> DataFrame:

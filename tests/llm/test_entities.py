@@ -7,7 +7,8 @@ from debtloom.llm.history import BatchIndex, known_notices
 from debtloom.llm.linkage import em_weights
 from debtloom.llm.matching import BITS, bit_vector, hamming_cores, match_entities
 from debtloom.llm.names import parse_name
-from debtloom.llm.truth import CHANGING, claims, judged_rows, present_value, true_values
+from debtloom.llm.companies import companies
+from debtloom.llm.truth import CHANGE, claims, judged_rows, present_values, source_quality, true_values
 from debtloom.llm.variants import entities_of_names, similar_cores, variant_pairs
 
 
@@ -187,14 +188,39 @@ def test_an_index_is_used_again(spark, tmp_path):
     assert [tuple(r) for r in known_notices(later, index).collect()] == [(1, 2)]
 
 
+def weigh(said, quality=(0.85, 0.9)):
+    """The probabilities of claims ``(day, value)`` of sources of one quality."""
+    import math
+
+    pos, neg = math.log(quality[0] / (1 - quality[1])), math.log((1 - quality[0]) / quality[1])
+    steps = [(d, v, pos * sum(x == (d, v) for x in said), neg * sum(x == (d, v) for x in said)) for d, v in sorted(set(said))]
+    return present_values(iter(steps), len({d for d, _ in said}), len({v for _, v in said}))
+
+
+def brute_force(said, quality=(0.85, 0.9)):
+    """The same by every value and every day of change."""
+    import math
+
+    days, values = sorted({d for d, _ in said}), sorted({v for _, v in said})
+    if len(values) == 1:
+        return {values[0]: 1.0}
+    pos, neg = math.log(quality[0] / (1 - quality[1])), math.log((1 - quality[0]) / quality[1])
+    of = lambda v, ds: sum(pos if x == v else neg for d, x in said if d in ds)
+    share = CHANGE / max(1, len(days) - 1) / max(1, len(values) - 1)
+    score = {v: (1 - CHANGE) * math.exp(of(v, days)) + sum(share * math.exp(of(v, days[k:]) + of(u, days[:k])) for k in range(1, len(days)) for u in values if u != v) for v in values}
+    return {v: s / sum(score.values()) for v, s in score.items()}
+
+
 def test_present_values():
-    said = [(1, "a", "x", 1), (2, "a", "x", 1), (3, "b", "y", 1)]
-    assert present_value(said, "f", {}, False)["x"] > 0.5  # what never changes goes by the number of claims
-    later = [(1, "a", "x", 2), (5, "a", "y", 1), (6, "b", "y", 1)]
-    assert present_value(later, "f", {}, True)["y"] > 0.5  # what may change goes by the last ones
-    assert present_value([(1, "a", "x", 1)], "f", {}, True) == {"x": 1.0}
-    trusted = {("f", "good"): (0.99, 0.99), ("f", "bad"): (0.6, 0.6)}
-    assert present_value([(1, "bad", "x", 2), (1, "good", "y", 1)], "f", trusted, False)["y"] > 0.5
+    import random
+
+    assert weigh([(1, "x"), (1, "x"), (5, "y"), (6, "y")])["y"] > 0.5  # what may change goes by the last ones
+    assert weigh([(1, "x")]) == {"x": 1.0}
+    random.seed(4)
+    for _ in range(200):
+        said = [(random.randrange(1, 6), random.choice("xyzw"[: random.randrange(1, 5)])) for _ in range(random.randrange(1, 9))]
+        got, want = weigh(said), brute_force(said)
+        assert got.keys() == want.keys() and all(abs(got[v] - want[v]) < 1e-9 for v in want), said
 
 
 def test_truth(spark):
@@ -202,9 +228,33 @@ def test_truth(spark):
     df = spark.createDataFrame(rows, "g string, s string, d string, v string")
     c = claims(df, "g", "s", F.col("d").try_cast("date"), {"v": F.col("v")})
     assert {(r.g, r.value) for r in true_values(c, "g", []).collect()} == {("g", "x"), ("h", "z")}
-    both = spark.createDataFrame([("g", s, "2026-01-01", v) for s in "abcdef" for v in ("x", "y")] + [("g", "a", "2026-01-01", "w")], "g string, s string, d string, v string")
-    many = true_values(claims(both, "g", "s", F.col("d").try_cast("date"), {"v": F.col("v")}), "g", [], many=["v"])
-    assert {r.value for r in many.collect()} >= {"x"} and CHANGING
+    assert true_values(c.limit(0), "g", ["v"]).count() == 0
+    # A source trusted elsewhere outweighs two that are mostly wrong.
+    votes = [(f"t{i}", s, None, "x" if s in "pqr" else f"w{s}") for i in range(40) for s in "pqrlm"] + [("g", "p", None, "x"), ("g", "l", None, "y"), ("g", "m", None, "y")]
+    trusted = claims(spark.createDataFrame(votes, "g string, s string, d string, v string"), "g", "s", F.col("d").try_cast("date"), {"v": F.col("v")})
+    assert {r.value for r in true_values(trusted, "g").where("g = 'g'").collect()} == {"x"}
+
+
+def test_fields_of_many_values_keep_all_that_are_true(spark):
+    rows = [(f"g{i}", s, "2026-01-01", v) for i in range(6) for s in "abcdef" for v in ("x", "y")] + [("g0", "a", "2026-01-01", "w"), ("h", "a", None, "q")]
+    df = spark.createDataFrame(rows, "g string, s string, d string, v string")
+    many = true_values(claims(df, "g", "s", F.col("d").try_cast("date"), {"v": F.col("v")}), "g", many=["v"])
+    got = {}
+    for r in many.collect():
+        got.setdefault(r.g, set()).add(r.value)
+    assert got == {**{f"g{i}": {"x", "y"} for i in range(6)}, "h": {"q"}}
+    # What a source leaves out counts against it: its sensitivity falls, its specificity stays.
+    lists = [(f"g{i}", s, None, v) for i in range(30) for s in "abc" for v in ("x", "y") if s != "c" or v == "x"]
+    quality = {r.source: r for r in source_quality(claims(spark.createDataFrame(lists, "g string, s string, d string, v string"), "g", "s", F.col("d").try_cast("date"), {"v": F.col("v")}), "g", many=["v"]).collect()}
+    assert quality["a"].sensitivity > 0.9 and quality["c"].sensitivity < 0.7 and quality["c"].specificity >= 0.9
+
+
+def test_names_that_keep_to_different_numbers_are_different_companies(spark):
+    cols = "r int, n string, acn string"
+    rows = [(1, "Larkspurton Timber Pty Ltd", "123456789"), (2, "Larkspurton Timber", "123456798"), (3, "Larkspurtn Timber", "123456789"), (4, "Larksdurton Timber Works", "555666777"), (5, "Larksdurton Timber", "555666777"), (6, "Larkspurton Timber", None), (7, None, "555666777"), (8, None, None), (9, "Larkspurton Tmbr", "555")]
+    got = {r.r: r.company for r in companies(spark.createDataFrame(rows, cols), "r", "n", F.col("acn")).collect()}
+    assert len(got) == 9 and got[1] == got[2] == got[3] == got[6] == got[9] and got[4] == got[5] == got[7] and len({got[1], got[4], got[8]}) == 3
+    assert companies(spark.createDataFrame(rows, cols).limit(0), "r", "n", F.col("acn")).count() == 0
 
 
 def test_judged_rows(spark):
