@@ -14,8 +14,8 @@ from debtloom.session import settle
 
 #: Least Jaccard similarity of the q-grams of two rare parts, and least weighted similarity of two names.
 GRAM_SIMILARITY, NAME_SIMILARITY = 0.35, 0.78
-#: Rare words with more writings than this are both right if two letters or more part them.
-SEVERAL = 4
+#: Two rare words that two letters or more part are both right if the less used has more than one writing, and more than this share of the other's.
+SHARE = 0.1
 
 
 def letters(c: Column) -> Column:
@@ -72,16 +72,32 @@ def entities_of_names(columns: Sequence[tuple[DataFrame, str]], least: float = N
     return parsed_entities(columns, least, pairs_of).select("name", "entity")
 
 
-def parsed_entities(columns: Sequence[tuple[DataFrame, str]], least: float = NAME_SIMILARITY, pairs_of: Callable[[DataFrame], DataFrame] = similar_cores) -> DataFrame:
+def _sure() -> Column:
+    """Whether a pair of names may be one in spite of the letters ``d`` that part their rare words.
+
+    Where any part them, other parts must not contradict each other. Two or more need a word that is written less often than the other,
+    as misspellings are, and further evidence: a third part that both have; or a given name and the same first letter; or the same first letter and
+    different last ones (endings are what invented names and surnames share by chance). Three need the third part and the same first letter.
+    """
+    rest = agrees(F.col("of_a.rest"), F.col("of_b.rest"))
+    few = (F.least("m_a", "m_b") == 1) | (F.least("m_a", "m_b") <= SHARE * F.greatest("m_a", "m_b"))
+    first = F.substring("core_a", 1, 1) == F.substring("core_b", 1, 1)
+    last = F.substring("core_a", -1, 1) == F.substring("core_b", -1, 1)
+    third = F.coalesce(rest, F.lit(False))
+    person = (F.col("of_a.family") == "person") & F.coalesce(agrees(F.col("of_a.head"), F.col("of_b.head")), F.lit(False))
+    return (F.col("d") == 0) | (F.coalesce(rest, F.lit(True)) & ((F.col("d") == 1) | (few & ((third & first) | ((F.col("d") == 2) & (third | (first & (person | ~last))))))))
+
+
+def parsed_entities(columns: Sequence[tuple[DataFrame, str]], least: float = NAME_SIMILARITY, pairs_of: Callable[[DataFrame], DataFrame] = similar_cores, sought: DataFrame | None = None) -> DataFrame:
     """``name, entity, node, u, family, core, head, rest``: every distinct string of the given columns, with one entity for all spellings of one
-    name; ``node`` stands for equal parts, ``u`` for equal parts but ``rest``.
+    name; ``node`` stands for equal parts, ``u`` for equal parts but ``rest``. ``pairs_of`` gets the units (``u, family, core, head, sought``); of
+    those ``sought``, in which a name of the table ``sought`` (``name``) stands, it has to give all near ones.
 
     A name's parts are its rare word (the invented word or surname), what tells sisters apart (trade, kind of body, given name) and
     what may be missing (role, middle name). Pairs with near rare words come from ``pairs_of``. Their similarity is the mean
     over parts, each weighed by the logarithm of its rarity among all names, so that rare words count most; equal parts count
     1, initials 0.9, near words the share of letters they have in common; a part missing on one side counts nothing. Pairs from
-    ``least`` on are links, unless given parts contradict each other, or two or more letters part two rare words that are each
-    written in several ways otherwise. Of its links to names with more writings a name keeps the best, so that no misspelling joins two
+    ``least`` on are links, unless given parts contradict each other, or the letters that part two rare words want more evidence (``_sure``). Of its links to names with more writings a name keeps the best, so that no misspelling joins two
     well-known names. A name that lacks the part by which the names it is linked
     to differ belongs to none of them.
 
@@ -91,9 +107,12 @@ def parsed_entities(columns: Sequence[tuple[DataFrame, str]], least: float = NAM
     texts = reduce(DataFrame.unionByName, [df.select(F.col(c).alias("name")) for df, c in columns]).where("length(trim(name)) > 0").distinct()
     named = with_name_parts(texts, "name", "name").withColumn("family", F.when(F.col("kind").isin("person", "body"), F.col("kind")).otherwise("company"))
     part = ["family", "core", "head", "rest"]
-    named = settle(named.withColumn("node", F.xxhash64(*part)).withColumn("u", F.xxhash64("family", "core", "head")), "name-parts")
-    nodes = settle(named.groupBy("node", "u", *part).agg(F.count("*").alias("n")), "name-nodes")
-    pairs = pairs_of(nodes.where("core != ''").groupBy("u", "family", "core", "head").agg(F.sum("n").alias("n")).drop("n"))
+    named = named.withColumn("node", F.xxhash64(*part)).withColumn("u", F.xxhash64("family", "core", "head"))
+    if sought is not None:
+        named = named.join(sought.select("name", F.lit(True).alias("sought")).distinct(), "name", "left")
+    named = settle(named.withColumn("sought", F.coalesce("sought", F.lit(False)) if sought is not None else F.lit(True)), "name-parts")
+    nodes = settle(named.groupBy("node", "u", *part).agg(F.count("*").alias("n"), F.bool_or("sought").alias("sought")), "name-nodes")
+    pairs = pairs_of(nodes.where("core != ''").groupBy("u", "family", "core", "head").agg(F.bool_or("sought").alias("sought")))
     own = nodes.groupBy("u").agg(F.count("*").alias("k")).where("k > 1").select(F.col("u").alias("a"), F.col("u").alias("b"))
     total = F.lit(float(max(1, named.count())))
     rarity = {f: nodes.groupBy("family", F.col(f)).agg(F.log(total / F.sum("n")).alias(f"w_{f}")) for f in ("core", "head", "rest")}
@@ -113,8 +132,8 @@ def parsed_entities(columns: Sequence[tuple[DataFrame, str]], least: float = NAM
     agree = F.coalesce(agrees(x("head"), y("head")), F.lit(True)) & ((x("family") != "person") | F.coalesce(agrees(x("rest"), y("rest")), F.lit(True)))
     links = joined.where(agree).select(
         x("node").alias("a"), y("node").alias("b"), x("m").alias("m_a"), y("m").alias("m_b"), x("n").alias("n_a"), y("n").alias("n_b"), (F.levenshtein(x("core"), y("core")) - F.when((letters(x("core")) == letters(y("core"))) & (x("core") != y("core")), 1).otherwise(0)).alias("d"), F.when(bottom > 0, top / bottom).otherwise(1.0).alias("similarity"),
-        *[F.struct(*[side(f).alias(f) for f in ("family", "head", "rest")]).alias(f"of_{n}") for n, side in (("a", x), ("b", y))],
-    ).where((F.col("similarity") >= least) & ((F.col("d") < 2) | (F.least("m_a", "m_b") <= SEVERAL)) & ((F.col("d") < 3) | F.coalesce(agrees(F.col("of_a.rest"), F.col("of_b.rest")), F.lit(False))))
+        x("core").alias("core_a"), y("core").alias("core_b"), *[F.struct(*[side(f).alias(f) for f in ("family", "head", "rest")]).alias(f"of_{n}") for n, side in (("a", x), ("b", y))],
+    ).where((F.col("similarity") >= least) & _sure())
     links = settle(links, "name-links")
     seen = links.select(F.col("a").alias("node"), F.col("of_a").alias("own"), F.col("of_b").alias("other")).unionByName(links.select(F.col("b").alias("node"), F.col("of_b").alias("own"), F.col("of_a").alias("other")))
     full = lambda f: F.when(F.length(f"other.{f}") > 1, F.col(f"other.{f}"))
