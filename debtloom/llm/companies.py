@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from debtloom.functions.canon import squeeze
 from debtloom.llm.graph import connected_components
-from debtloom.llm.matching import bit_vector, dice
 from debtloom.llm.names import agrees, grams
 from debtloom.llm.variants import parsed_entities
+from debtloom.llm.vectors import bit_vector, dice
 from debtloom.session import settle
 
 #: Digits that a slip changes at most in a number; LENGTH is that of a whole one.
@@ -38,37 +38,45 @@ def number_classes(use: DataFrame) -> DataFrame:
     return first.join(again, ["entity", "owner"]).select("entity", "number", F.col("last").alias("owner"))
 
 
-def companies(rows: DataFrame, row_id: str, name: str, number: Column) -> DataFrame:
-    """``row_id, company, node``: the rows of each company; ``node`` stands for the parsed name, null where there is none.
-
-    Names are put together as in ``parsed_entities``. Names of one entity that keep to different numbers, no slips of each other, are
-    different companies after all: each parsed name belongs to the number it is used with most; one without numbers to that of the names with the same
-    rare word and trade, else of the entity. Names of different entities with one number are one company if half alike and of one trade.
+def split_by_number(known: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``node, company`` of every parsed name, and ``number, company`` of rows without a name, from rows ``number, entity, u, node, core, head``.
 
-    Defined cases: rows without a name belong to the company of their number, or else stand alone; rows without an id are left out;
-    numbers that are not whole say nothing; repeated rows count as they come; empty tables give no rows.
+    Names of one entity that keep to different numbers, no slips of each other, are different companies after all: each parsed name belongs to the
+    number it is used with most; one without numbers to that of the names with the same rare word and trade, else of the entity. Names of
+    different entities with one number are one company if half alike and of one trade. Numbers that are not whole say nothing.
     """
-    said = rows.select(F.col(row_id).alias("r"), squeeze(F.col(name)).alias("name"), F.when(F.length(number) == LENGTH, number).alias("number")).where("r is not null")
-    named = parsed_entities([(said, "name")])
-    known = settle(said.join(named, "name", "left").drop("name"), "company-rows")
-    use = settle(known.where("entity is not null and number is not null").groupBy("entity", "u", "node", "core", "head", "number").agg(F.count("*").alias("n")), "company-numbers")
-    used = use.groupBy("entity", "number").agg(F.sum("n").alias("n"))
+    use = settle(known.where("entity is not null").groupBy("entity", "u", "node", "core", "head", "number").agg(F.count("*").alias("n")), "company-numbers")
+    numbered = use.where(F.length("number") == LENGTH)
+    used = numbered.groupBy("entity", "number").agg(F.sum("n").alias("n"))
     several = used.groupBy("entity").agg(F.count("*").alias("k")).where("k > 1").select("entity")
-    owned = settle(use.join(number_classes(used.join(several, "entity", "left_semi")), ["entity", "number"]), "owned-numbers")
+    owned = settle(numbered.join(number_classes(used.join(several, "entity", "left_semi")), ["entity", "number"]), "owned-numbers")
     of_node, of_unit, of_entity = (_most(owned, key, "owner") for key in (["entity", "node"], ["entity", "u"], ["entity"]))
     torn = of_node.groupBy("entity").agg(F.count_distinct("owner").alias("k")).where("k > 1").select("entity")
-    nodes = known.where("entity is not null").select("entity", "u", "node").distinct().join(torn, "entity", "left_semi")
+    nodes = use.select("entity", "u", "node").distinct().join(torn, "entity", "left_semi")
     split = (
         nodes.join(of_node.withColumnRenamed("owner", "o1"), ["entity", "node"], "left").join(of_unit.withColumnRenamed("owner", "o2"), ["entity", "u"], "left").join(of_entity.withColumnRenamed("owner", "o3"), "entity", "left")
         .select("node", F.xxhash64("entity", F.coalesce("o1", "o2", "o3")).alias("own"))
     )
-    split = settle(split, "split-companies")
-    whole = use.join(split, "node", "left").groupBy("number", F.coalesce("own", "entity").alias("e"), "core", "head").agg(F.sum("n").alias("n"))
-    alone = F.when(F.col("number").isNull(), F.xxhash64(F.lit("row"), "r")).otherwise(F.xxhash64(F.lit("number"), "number"))
-    nameless = known.where("entity is null and number is not null").select("number", alone.alias("e"), F.lit("").alias("core"), F.lit("").alias("head"), F.lit(0).cast("bigint").alias("n")).distinct()
-    joined = connected_components(_same_number(settle(whole.unionByName(nameless), "number-names")), "e", "f")
-    each = known.join(split, "node", "left").select("r", "node", F.coalesce("own", "entity", alone).alias("e"))
-    return each.join(joined, each["e"] == joined["node"], "left").select(F.col("r").alias(row_id), F.coalesce("component", "e").alias("company"), each["node"])
+    each = settle(use.join(split, "node", "left").select("node", F.coalesce("own", "entity").alias("e"), "core", "head", "number", "n"), "number-names")
+    nameless = known.where(F.col("entity").isNull() & (F.length("number") == LENGTH)).select("number", F.xxhash64(F.lit("number"), "number").alias("e"), F.lit("").alias("core"), F.lit("").alias("head"), F.lit(0).cast("bigint").alias("n")).distinct()
+    whole = each.where(F.length("number") == LENGTH).groupBy("number", "e", "core", "head").agg(F.sum("n").alias("n"))
+    joined = connected_components(_same_number(settle(whole.unionByName(nameless), "number-entities")), "e", "f").select(F.col("node").alias("e"), "component")
+    company = F.coalesce("component", "e").alias("company")
+    return settle(each.select("node", "e").distinct().join(joined, "e", "left").select("node", company), "node-companies"), nameless.join(joined, "e", "left").select("number", company)
+
+
+def companies(rows: DataFrame, row_id: str, name: str, number: Column) -> DataFrame:
+    """``row_id, company``: the rows of each company, by name as in ``parsed_entities`` and by number as in ``split_by_number``.
+
+    Defined cases: rows without a name belong to the company of their number, or else stand alone; rows without an id are left out;
+    numbers that are not whole say nothing; repeated rows count as they come; empty tables give no rows.
+    """
+    said = rows.select(F.col(row_id).alias("r"), squeeze(F.col(name)).alias("name"), F.when(F.length(number) == LENGTH, number).alias("number")).where("r is not null")
+    known = settle(said.join(parsed_entities([(said, "name")]), "name", "left").drop("name"), "company-rows")
+    named, nameless = split_by_number(known)
+    alone = F.when(F.col("entity").isNull() & F.col("number").isNull(), F.xxhash64(F.lit("row"), "r"))
+    found = known.join(named, "node", "left").join(nameless.withColumnRenamed("company", "other"), "number", "left")
+    return found.select(F.col("r").alias(row_id), F.coalesce("company", F.when(F.col("entity").isNull(), F.col("other")), alone).alias("company"))
 
 
 def _same_number(use: DataFrame) -> DataFrame:

@@ -4,195 +4,148 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from debtloom.llm.names import agrees, grams, with_name_parts
-from debtloom.llm.variants import entities_of_names, near_words
+from debtloom.llm.companies import split_by_number
+from debtloom.llm.names import agrees
+from debtloom.llm.variants import near_words, parsed_entities
+from debtloom.llm.vectors import bit_vector, dice, hamming_cores
 from debtloom.session import settle
 
-BITS = 64
-#: Two rare words whose vectors differ in at most RADIUS bits are found: two wrong letters change at most eight bigrams.
-RADIUS = 8
-#: Parts of a vector, in bits, and how many bits each may differ in: any two vectors within RADIUS are near in one part.
-PARTS = ((13, 1), (13, 1), (13, 1), (13, 1), (12, 0))
+#: Weights of the parts of a name: its rare word, what tells sisters apart, what may be missing.
+FIELD_WEIGHTS = {"core": 3.0, "head": 2.0, "rest": 1.0}
+BINS = 20
 
 
-def bit_vector(word: Column) -> Column:
-    """The bigrams of a word as bits of one long."""
-    one = F.lit(1).cast("bigint")
-    return F.aggregate(grams(word, 2), F.lit(0).cast("bigint"), lambda acc, g: acc.bitwiseOR(F.call_function("shiftleft", one, F.pmod(F.xxhash64(g), F.lit(BITS)).cast("int"))))
+def near_cores(units: DataFrame) -> DataFrame:
+    return hamming_cores(units, near_words(F.col("x"), F.col("y")))
 
 
-def dice(a: Column, b: Column) -> Column:
-    """Dice's coefficient of two bit vectors; null where either is."""
-    return F.try_divide(2 * F.bit_count(a.bitwiseAND(b)), F.bit_count(a) + F.bit_count(b))
+def weighted_dice(a: str, b: str) -> Column:
+    """The mean of Dice's coefficients of the parts that both names have, by field weight; an initial is nine tenths of its word."""
+    of = lambda side, f: F.col(f"{side}.{f}")
+    top, bottom = F.lit(0.0), F.lit(0.0)
+    for f, w in FIELD_WEIGHTS.items():
+        both = (of(a, f) != "") & (of(b, f) != "")
+        initial = (F.length(of(a, f)) == 1) | (F.length(of(b, f)) == 1)
+        alike = F.when(initial, F.when(agrees(of(a, f), of(b, f)), 0.9).otherwise(0.0)).otherwise(dice(bit_vector(of(a, f)), bit_vector(of(b, f))))
+        top, bottom = top + F.when(both, w * alike).otherwise(0.0), bottom + F.when(both, w).otherwise(0.0)
+    return F.coalesce(F.try_divide(top, bottom), F.lit(0.0))
 
 
-def _parts(v: Column) -> list[Column]:
-    out, at = [], 0
-    for width, _ in PARTS:
-        out.append(F.call_function("shiftrightunsigned", v, F.lit(at)).bitwiseAND(F.lit((1 << width) - 1).cast("bigint")))
-        at += width
-    return out
+def calibrated(scored: DataFrame, score: str, label: str, route: str = "route", chance: float = 0.0, bins: int = BINS) -> DataFrame:
+    """Adds ``confidence``: the share of true pairs among those of like score by one route, made to rise with the score (pool adjacent violators).
 
-
-def _flips(width: int, most: int) -> list[int]:
-    return [sum(1 << i for i in bits) for k in range(most + 1) for bits in combinations(range(width), k)]
-
-
-def _places(i: int, part: Column, flips: list[int]) -> Column:
-    return F.transform(F.lit(flips), lambda f: F.struct(F.lit(i).alias("i"), part.bitwiseXOR(f.cast("bigint")).alias("x")))
-
-
-def _contexts(left: bool) -> Column:
-    """What two heads must have in common to be compared: the whole head, its initial if one side has no more, or nothing if one has none."""
-    head, letter = F.col("head"), F.substring("head", 1, 1)
-    tag = lambda t, c=None: F.concat(F.lit(t), c) if c is not None else F.lit(t)
-    if left:
-        known, initial, missing = [tag("T", head), tag("k", letter), tag("K")], [tag("i", letter), tag("I")], [tag("M")]
-    else:
-        known, initial, missing = [tag("T", head), tag("i", letter), tag("M")], [tag("k", letter), tag("i", letter), tag("M")], [tag("K"), tag("I"), tag("M")]
-    return F.when(F.length("head") > 1, F.array(*known)).when(F.length("head") == 1, F.array(*initial)).otherwise(F.array(*missing))
-
-
-def hamming_cores(left: DataFrame, units: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """``a, b``: units (``u, family, core, head``) of ``left`` with all ``units`` whose vectors differ in at most ``radius`` bits.
-
-    The search is exact. A vector is cut into PARTS; if two vectors differ in no more than RADIUS bits, they differ in no more
-    bits of some part than that part allows, since the allowances and one more each add up to more than RADIUS. So every part is looked
-    up with all allowed bits turned, and what is found is compared in full. Heads must not rule each other out.
-    """
-    if radius > sum(most + 1 for _, most in PARTS) - 1:
-        raise ValueError("PARTS don't provide for this radius")
-
-    def keyed(df: DataFrame, is_left: bool) -> DataFrame:
-        v = df.select("u", "family", "core", bit_vector(F.col("core")).alias("v"), "head")
-        keys = []
-        for i, (part, (width, most)) in enumerate(zip(_parts(F.col("v")), PARTS)):
-            keys.append(_places(i, part, _flips(width, most) if is_left else [0]))
-        return v.select("u", "family", "core", "v", F.explode(_contexts(is_left)).alias("c"), F.flatten(F.array(*keys)).alias("keys")).select("u", "family", "core", "v", "c", F.explode("keys").alias("key"))
-
-    a, b = keyed(left, True).alias("a"), keyed(units, False).alias("b")
-    x, y = (lambda f: F.col(f"a.{f}")), (lambda f: F.col(f"b.{f}"))
-    close = (x("key") == y("key")) & (x("c") == y("c")) & (x("family") == y("family")) & (x("u") != y("u")) & (F.bit_count(x("v").bitwiseXOR(y("v"))) <= radius)
-    found = a.join(b.hint("merge"), close).where(near_words(x("core"), y("core"))).select(x("u").alias("a"), y("u").alias("b"))
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-
-def calibrated(scored: DataFrame, score: str, label: str, bins: int = 40) -> DataFrame:
-    """Adds ``confidence``: the share of true labels among pairs of like score, made to rise with the score (pool adjacent violators).
-
-    ``label`` is null where nothing is known. All labelled pairs count; the driver holds one count per bin. Without labels the confidence is the score.
+    ``label`` tells of a pair whether a sign of truth is there, which is so by ``chance`` for wrong pairs too; null where nothing is known. All labelled
+    pairs count. The driver holds a count per route and bin; where labels are few a little of the score itself is mixed in, and without labels it is the confidence.
     """
     at = F.least(F.floor(F.col(score) * bins), F.lit(bins - 1)).cast("int")
-    counts = {r["bin"]: (r["yes"], r["n"]) for r in scored.where(F.col(label).isNotNull()).groupBy(at.alias("bin")).agg(F.sum(F.col(label).cast("int")).alias("yes"), F.count("*").alias("n")).collect()}
-    if not counts:
-        return scored.withColumn("confidence", F.col(score))
-    blocks: list[list[float]] = []
-    for k in range(bins):
-        yes, n = counts.get(k, (0, 0))
-        # A little of the score itself, where labels are few.
-        blocks.append([yes + 2 * (k + 0.5) / bins, n + 2.0, 1])
-        while len(blocks) > 1 and blocks[-2][0] / blocks[-2][1] >= blocks[-1][0] / blocks[-1][1]:
-            last = blocks.pop()
-            blocks[-1] = [blocks[-1][i] + last[i] for i in range(3)]
-    steps = [b[0] / b[1] for b in blocks for _ in range(int(b[2]))]
-    return scored.withColumn("confidence", F.element_at(F.lit(steps), at + 1))
+    counts: dict[str, dict[int, tuple[int, int]]] = {}
+    for r in scored.groupBy(route, at.alias("bin")).agg(F.count_if(label).alias("yes"), F.count(label).alias("n")).collect():
+        counts.setdefault(r[route], {})[r["bin"]] = (r["yes"], r["n"])
+    steps: dict[str, list[float]] = {}
+    for name, found in counts.items():
+        blocks: list[list[float]] = []
+        for k in range(bins):
+            yes, n = found.get(k, (0, 0))
+            blocks.append([min(n, max(0.0, (yes - n * chance) / (1 - chance))) + (k + 0.5) / bins, n + 1.0, 1])
+            while len(blocks) > 1 and blocks[-2][0] / blocks[-2][1] >= blocks[-1][0] / blocks[-1][1]:
+                last = blocks.pop()
+                blocks[-1] = [blocks[-1][i] + last[i] for i in range(3)]
+        steps[name] = [b[0] / b[1] for b in blocks for _ in range(int(b[2]))]
+    known = reduce(lambda rest, item: F.when(F.col(route) == item[0], F.element_at(F.lit(item[1]), at + 1)).otherwise(rest), steps.items(), F.col(score))
+    return scored.withColumn("confidence", known.cast("double"))
 
 
 def match_entities(
-    left: DataFrame, left_id: str, left_name: str, left_number: Column, right: DataFrame, right_id: str, right_name: str, aliases: Sequence[tuple[DataFrame, str, str, float]], numbers: DataFrame, number_column: str, least: float = 0.5,
+    left: DataFrame, left_id: str, left_name: str, left_number: Column, right: DataFrame, right_id: str, right_name: str, aliases: Sequence[tuple[DataFrame, str, str]], numbers: DataFrame, number_column: str, least: float = 0.5,
     check: tuple[str, str] | None = None,
 ) -> DataFrame:
     """``left_id, right_id, confidence``: rows of two sources that stand for the same entity.
 
-    ``aliases`` are further names of right rows: a DataFrame with ``right_id``, the column of the name, a label and its weight; ``numbers`` has
-    identifiers of right rows. Names are parsed; the bigrams of their rare words are vectors of 64 bits, compared by ``hamming_cores``, and
-    names found near each other form entities (see ``entities_of_names``). A left and a right row are candidates by each of these routes:
+    ``aliases`` are further names of right rows: a DataFrame with ``right_id``, the column of the name and a label; ``numbers`` has identifiers of
+    right rows. The bigrams of the parts of all names are vectors of 64 bits. Names whose rare words are near by ``hamming_cores`` are put together
+    (``parsed_entities``), then parted and joined by the left rows' numbers (``split_by_number``), so that each left row and each
+    right name belongs to one entity at most. Right rows whose own names are of one entity share what any of them leads to. Routes from a right row to an entity:
 
-    * ``own``: their names are of one entity (or their numbers are equal, or an alias is of the left row's entity, and the names similar);
-    * each label of ``aliases``: the left row's name and an alias of the right row, however unlike its own name, are of one entity;
-    * ``number``: the left row's entity has a number of the right row, whatever the names. Its score is
-      Dice's coefficient of the entity's numbered rows and the number's, less where entities share the number; a number that a right row of that entity's name holds too is that row's.
+    * ``own``: its own name; each label of ``aliases``: that name, however unlike the own one; the score is the field-weighted Dice coefficient
+      of the name and the entity's most frequent one;
+    * ``number``: one of its identifiers, which belongs to the entity that uses it most; the score is Dice's coefficient of the left
+      rows that have the number and those of the entity that have one. A number that another right row of the entity's own name holds is that one's.
 
-    Right rows whose names are of one entity are one company and share their aliases and numbers. Along ``own`` a score is the mean of the Dice
-    coefficients of the fields, weighed by field, with the number as a field of its own where both have one, and becomes a confidence by the share
-    of equal numbers among all candidates that have two. Along an alias the score is that of the best field; there and by number the confidence is the score
-    times the share of true pairs of the route: ``check`` names a left and a right column that agree for one company, and the share is what
-    their agreement exceeds chance by (1 without ``check``). A pair has the best confidence of its routes; those of at least ``least`` are returned.
+    Scores become confidences by route: ``check`` names a left and a right column that agree for one entity, and what their agreement exceeds chance by
+    is the share of true pairs (``calibrated``). Routes that lead to one entity strengthen each other, as independent signs do: the pair is wrong only if
+    each of them is. Pairs of at least ``least`` are returned, all rows of both sides.
 
-    Defined cases: rows with a null id or name match nothing; repeated rows match like the first; empty tables give no rows.
+    Defined cases: rows with a null id match nothing, left rows without a name only by their number, right rows without one by what they lead to; repeated
+    rows match like the first; empty tables give no rows.
     """
-    kinds = [left_id, right_id]
-    lrows = left.select(F.col(left_id).alias("l"), F.col(left_name).alias("name"), left_number.alias("number")).where("l is not null and length(trim(name)) > 0").distinct()
-    rrows = right.select(F.col(right_id).alias("r"), F.col(right_name).alias("name")).where("r is not null and length(trim(name)) > 0").distinct()
-    others = reduce(DataFrame.unionByName, [df.select(F.col(right_id).alias("r"), F.col(c).alias("name"), F.lit(label).alias("route"), F.lit(w).alias("w")) for df, c, label, w in aliases]).where("r is not null and length(trim(name)) > 0").distinct()
-    ids = numbers.select(F.col(right_id).alias("r"), F.col(number_column).alias("number")).where("r is not null and number is not null").distinct()
+    lrows = left.select(F.col(left_id).alias("l"), F.col(left_name).alias("name"), left_number.alias("number"), *([F.upper(F.trim(check[0])).alias("sign")] if check else [F.lit(None).cast("string").alias("sign")])).where("l is not null").distinct()
+    rrows = right.select(F.col(right_id).alias("r"), F.col(right_name).alias("name"), *([F.upper(F.trim(check[1])).alias("sign")] if check else [F.lit(None).cast("string").alias("sign")])).where("r is not null").distinct()
+    others = [df.select(F.col(right_id).alias("r"), F.col(c).alias("name"), F.lit(label).alias("route")) for df, c, label in aliases]
+    others = settle(reduce(DataFrame.unionByName, others).where("r is not null and length(trim(name)) > 0").distinct(), "aliases")
+    ids = settle(numbers.select(F.col(right_id).alias("r"), F.col(number_column).alias("number")).where("r is not null and number is not null").distinct(), "identifiers")
     # Spellings are sought of left names, and of right rows that lead on: what one spelling leads to holds for all.
     leading = rrows.join(others.select("r").unionByName(ids.select("r")).distinct(), "r", "left_semi")
-    lnames = settle(with_name_parts(lrows.select("name").unionByName(leading.select("name")).distinct(), "name", "name"), "left-names")
-    lunits = lnames.withColumn("family", F.when(F.col("kind").isin("person", "body"), F.col("kind")).otherwise("company")).select(F.xxhash64("family", "core", "head").alias("u"), "family", "core", "head").where("core != ''").distinct()
-    entities = settle(entities_of_names([(lrows, "name"), (rrows, "name"), (others, "name")], pairs_of=lambda units: hamming_cores(lunits, units)), "entities")
-    parts = settle(with_name_parts(entities.select("name"), "name", "name").select("name", bit_vector(F.col("core")).alias("v"), "head").join(entities, "name"), "entity-names")
-    l = lrows.join(parts, "name").select("l", "number", F.col("v").alias("lv"), F.col("head").alias("lh"), F.col("entity").alias("e"))
-    r = rrows.join(parts, "name").select("r", F.col("v").alias("rv"), F.col("head").alias("rh"), F.col("entity").alias("e"))
-    o = others.join(parts, "name").select("r", "route", "w", F.col("v").alias("ov"), F.col("head").alias("oh"), F.col("entity").alias("e"))
-    l, r = settle(l, "left-rows"), settle(r, "right-rows")
-    by_name = l.select("l", "e").join(r.select("r", "e"), "e").select("l", "r")
-    # Another name of a right row counts where its own name could be a misspelling of it.
-    like = r.select("r", "rv", "rh").join(o, "r").where((dice(F.col("rv"), F.col("ov")) >= 0.4) & F.coalesce(agrees(F.col("rh"), F.col("oh")), F.lit(True)))
-    by_alias = l.select("l", "e").join(like.select("r", "e"), "e").select("l", "r")
-    known = l.where("number is not null").select("l", "number", "lv", "lh")
-    by_number = known.join(ids, "number").join(r.select("r", "rv", "rh"), "r").where((dice(F.col("lv"), F.col("rv")) >= 0.4) & F.coalesce(agrees(F.col("lh"), F.col("rh")), F.lit(True))).select("l", "r")
-    pairs = by_name.unionByName(by_alias).unionByName(by_number).distinct()
-    same = settle(pairs.join(l.withColumnRenamed("e", "le"), "l").join(r.withColumnRenamed("e", "re"), "r"), "candidates")
-    own = dice(F.col("lv"), F.col("rv"))
-    # Names of one entity are alike at least as far as the entity's own bounds.
-    best = F.when(F.col("le") == F.col("re"), F.greatest(own, F.lit(0.75))).otherwise(own)
-    sides = same.join(o.select("r", "w", "ov", "oh"), "r", "left").select("l", "r", best.alias("own"), "number", F.when(F.coalesce(agrees(F.col("lh"), F.col("oh")), F.lit(True)), dice(F.col("lv"), F.col("ov"))).otherwise(F.lit(0.0)).alias("d"), "w")
-    fields = sides.groupBy("l", "r").agg(F.first("own").alias("own"), F.first("number").alias("number"), F.sum(F.when(F.col("d") >= 0.4, F.col("d") * F.col("w"))).alias("top"), F.sum(F.when(F.col("d") >= 0.4, F.col("w"))).alias("bottom"))
-    numbered = fields.where("number is not null").join(ids.withColumnRenamed("number", "theirs"), "r").groupBy("l", "r").agg(F.max((F.col("number") == F.col("theirs")).cast("int")).alias("equal"))
-    scored = fields.join(numbered, ["l", "r"], "left").select(
-        "l", "r", (F.col("equal") == 1).alias("label"),
-        ((3 * F.col("own") + F.coalesce("top", F.lit(0.0)) + F.when(F.col("equal") == 1, 2.0).otherwise(0.0)) / (3 + F.coalesce("bottom", F.lit(0.0)) + F.when(F.col("equal") == 1, 2.0).otherwise(0.0))).alias("score"),
-    )
-    by_own = calibrated(settle(scored, "scored"), "score", "label").select("l", "r", "confidence")
-    members = r.select("r", F.col("e").alias("re")).distinct()
-    links = o.join(members, "r").select("re", "route", F.col("e"), "ov").distinct()
-    leads = l.join(links, "e").groupBy("l", "re", "route").agg(F.max(F.greatest(F.coalesce(dice(F.col("lv"), F.col("ov")), F.lit(0.0)), F.lit(0.75))).alias("score"))
-    leads, numbered = settle(leads, "by-alias"), settle(_by_number(l, members, ids), "by-number")
-    routes = leads.unionByName(numbered).join(members, "re").select("l", "r", "route", "score")
-    found = by_own.unionByName(_weighed_routes(settle(routes, "routes"), left, left_id, right, right_id, check))
-    return found.groupBy("l", "r").agg(F.max("confidence").alias("confidence")).where(F.col("confidence") >= least).select(F.col("l").alias(kinds[0]), F.col("r").alias(kinds[1]), "confidence")
+    names = parsed_entities([(lrows, "name"), (rrows, "name"), (others, "name")], pairs_of=near_cores, sought=lrows.select("name").unionByName(leading.select("name")))
+    names = settle(names, "entities").select("name", "entity", "node", "u", "core", "head", "rest")
+    l = settle(lrows.join(names, "name", "left"), "left-rows")
+    by_node, by_number = split_by_number(l)
+    l = settle(l.join(by_node, "node", "left").join(by_number.withColumnRenamed("company", "other"), "number", "left").withColumn("c", F.coalesce("company", F.when(F.col("entity").isNull(), F.col("other")))).where("c is not null").select("l", "number", "sign", "c", "entity", "node", "u", "core", "head", "rest"), "left-companies")
+    known = l.where("node is not null").groupBy("c", "entity", "u", "node", "core", "head", "rest").agg(F.count("*").alias("n"))
+    known = settle(known, "company-names")
+    faces = known.groupBy("c").agg(F.max_by(F.struct("core", "head", "rest"), F.struct("n", "node")).alias("face")).select("c", "face.*")
+    # A right name is of the company that has its very parts, else of one with its rare word and trade, else the one of the entity whose usual rare word is nearest.
+    rnames = rrows.select("r", "name", F.lit("own").alias("route")).unionByName(others).join(names, "name").select("r", "route", "entity", "u", "node", "core", "head", "rest")
+    rnames = settle(rnames, "right-names")
+    nodes = rnames.select("entity", "u", "node", "core", "head", "rest").distinct()
+    several = known.groupBy("entity").agg(F.count_distinct("c").alias("k"), F.min("c").alias("c"))
+    one = nodes.join(several.where("k = 1").select("entity", "c"), "entity").select("node", "c")
+    torn = nodes.join(several.where("k > 1").select("entity"), "entity", "left_semi")
+    usual = known.join(several.where("k > 1").select("entity"), "entity", "left_semi").groupBy("entity", "c").agg(F.max_by("core", F.struct("n", "core")).alias("core"), F.sum("n").alias("n"))
+    nearest = torn.alias("t").join(usual.alias("k"), "entity")
+    nearest = nearest.groupBy("node").agg(F.min_by("c", F.struct(F.levenshtein("t.core", "k.core"), (-F.col("n")).alias("n"), "c")).alias("near"))
+    exact = torn.join(known.groupBy("node").agg(F.max_by("c", F.struct("n", "c")).alias("same")), "node", "left").select("node", "same")
+    placed = settle(one.unionByName(nearest.join(exact, "node").select("node", F.coalesce("same", "near").alias("c"))), "placed-names")
+    rnames = settle(rnames.join(placed, "node", "left").withColumn("g", F.coalesce("c", "entity")), "placed-rows")
+    groups = rrows.select("r", "sign").join(rnames.where("route = 'own'").select("r", "g").distinct(), "r", "left").select("r", "sign", F.coalesce("g", F.xxhash64(F.lit("row"), "r")).alias("g"))
+    groups = settle(groups, "right-groups")
+    members = groups.select("r", "g").distinct()
+    leads = rnames.where("c is not null").select("r", "route", "c", "core", "head", "rest").join(members, "r").select("g", "route", "c", "core", "head", "rest").distinct()
+    by_name = leads.alias("x").join(faces.alias("y"), "c").select("g", "c", "route", weighted_dice("x", "y").alias("score"))
+    routes = by_name.unionByName(_by_number(l, members, ids)).groupBy("g", "c", "route").agg(F.max("score").alias("score"))
+    scored = calibrated(settle(_signed(routes, l, groups), "routes"), "score", "label", chance=_chance(l, groups))
+    found = scored.groupBy("g", "c").agg((1 - F.exp(F.sum(F.log(1 - F.least(F.col("confidence"), F.lit(0.9999)))))).alias("confidence")).where(F.col("confidence") >= least)
+    out = l.select("l", "c").distinct().join(found, "c").join(members, "g")
+    return out.groupBy(F.col("l").alias(left_id), F.col("r").alias(right_id)).agg(F.round(F.max("confidence"), 6).alias("confidence"))
 
 
 def _by_number(l: DataFrame, members: DataFrame, ids: DataFrame) -> DataFrame:
-    """``l, re, route, score``: left rows whose entity has a number of the right entity ``re``."""
-    known = l.where("number is not null").select("l", "number", "e").distinct()
-    shares = known.groupBy("number", "e").agg(F.count("*").alias("n")).join(known.groupBy("number").agg(F.count("*").alias("n_number")), "number").join(known.groupBy("e").agg(F.count("*").alias("n_entity")), "e")
-    # A number is one company's: what its entities have beyond the whole is taken from each in proportion.
-    shares = shares.withColumn("score", 2 * F.col("n") / (F.col("n_number") + F.col("n_entity")))
-    shares = shares.join(shares.groupBy("number").agg(F.sum("score").alias("all")), "number").select("number", "e", (F.col("score") / F.greatest(F.lit(1.0), F.col("all"))).alias("score"))
-    held = ids.join(members, "r").select("number", "re").distinct()
-    each = held.join(shares, "number")
-    named = each.where("re = e").select("number", "e").distinct()
-    best = each.join(named, ["number", "e"], "left_anti").groupBy("re", "e").agg(F.max("score").alias("score"))
-    return l.select("l", "e").distinct().join(best, "e").select("l", "re", F.lit("number").alias("route"), "score")
-
-
-def _weighed_routes(routes: DataFrame, left: DataFrame, left_id: str, right: DataFrame, right_id: str, check: tuple[str, str] | None) -> DataFrame:
-    """``l, r, confidence``: the scores times each route's share of true pairs, which agree in ``check`` where others do by chance."""
-    if check is None:
-        return routes.select("l", "r", F.col("score").alias("confidence"))
-    value = lambda df, row, c, to: df.select(F.col(row).alias(to), F.upper(F.trim(c)).alias(f"{to}_value")).where(f"length({to}_value) > 0").distinct()
-    a, b = value(left, left_id, check[0], "l"), value(right, right_id, check[1], "r")
-    spread = lambda df, c: df.groupBy(F.col(c).alias("value")).agg(F.count("*").alias("n")).select("value", (F.col("n") / F.sum("n").over(Window.partitionBy(F.lit(0)))).alias(c))
-    chance = spread(a, "l_value").join(spread(b, "r_value"), "value").agg(F.coalesce(F.sum(F.col("l_value") * F.col("r_value")), F.lit(0.0))).first()[0]
-    agreed = routes.join(a, "l").join(b, "r").groupBy("route").agg(F.avg((F.col("l_value") == F.col("r_value")).cast("double")).alias("share"), F.count("*").alias("n"))
-    # One pair more that agrees, where there are few.
-    share = (F.col("share") * F.col("n") + 1) / (F.col("n") + 1)
-    trust = agreed.select("route", F.greatest(F.lit(0.0), F.try_divide(share - chance, F.lit(1.0 - chance))).alias("trust"))
-    return routes.join(trust, "route", "left").select("l", "r", (F.col("score") * F.coalesce("trust", F.lit(1.0))).alias("confidence"))
+    """``g, c, route, score``: right groups with a number of the left entity ``c``."""
+    known = l.where("number is not null").select("l", "number", "c").distinct()
+    shares = known.groupBy("number", "c").agg(F.count("*").alias("n")).join(known.groupBy("number").agg(F.count("*").alias("n_number")), "number").join(known.groupBy("c").agg(F.count("*").alias("n_entity")), "c")
+    shares = shares.select("number", "c", (2 * F.col("n") / (F.col("n_number") + F.col("n_entity"))).alias("score"))
+    owners = shares.groupBy("number").agg(F.max(F.struct("score", "c")).alias("m")).select("number", F.col("m.c").alias("c"), F.col("m.score").alias("score"))
+    held = ids.join(members, "r").select("number", "g").distinct().join(owners, "number")
+    named = held.where("g = c").select("number").distinct()
+    kept = held.join(named.withColumn("taken", F.lit(True)), "number", "left").where("taken is null or g = c")
+    return kept.select("g", "c", F.lit("number").alias("route"), "score")
+
+
+def _usual(df: DataFrame, key: str) -> DataFrame:
+    """The most frequent ``sign`` of a group."""
+    return df.where("length(sign) > 0").groupBy(key, "sign").agg(F.count("*").alias("n")).groupBy(key).agg(F.max_by("sign", F.struct("n", "sign")).alias("sign"))
+
+
+def _signed(routes: DataFrame, l: DataFrame, groups: DataFrame) -> DataFrame:
+    """``routes`` with ``label``: whether the signs of both sides agree."""
+    a, b = _usual(l, "c").withColumnRenamed("sign", "lsign"), _usual(groups, "g").withColumnRenamed("sign", "rsign")
+    return routes.join(a, "c", "left").join(b, "g", "left").select("g", "c", "route", "score", (F.col("lsign") == F.col("rsign")).alias("label"))
+
+
+def _chance(l: DataFrame, groups: DataFrame) -> float:
+    """How likely the signs of two entities agree that have nothing to do with each other."""
+    spread = lambda df, key, c: _usual(df, key).groupBy("sign").agg(F.count("*").alias("n")).select("sign", (F.col("n") / F.sum("n").over(Window.partitionBy())).alias(c))
+    return min(0.99, spread(l, "c", "p").join(spread(groups, "g", "q"), "sign").agg(F.coalesce(F.sum(F.col("p") * F.col("q")), F.lit(0.0))).first()[0])

@@ -29,7 +29,7 @@ def company_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     of_abn = prospects.select("prospect_id", digits("abn").alias("d")).where("length(d) = 11").select("prospect_id", F.expr("right(d, 9)").alias("acn"))
     return match_entities(
         table(spark, sf_dir, "matter"), "matter_row", "company_name", acn_canon(F.col("acn")), prospects, "prospect_id", "display_name",
-        [(linked, "org_name", "org", 1.5), (policies, "policy_name", "policy", 1.0), (clients, "client_name", "client", 0.5), (named, "field", "field", 0.5)], of_org.unionByName(of_abn), "acn", check=("state", "state"),
+        [(linked, "org_name", "org"), (policies, "policy_name", "policy"), (clients, "client_name", "client"), (named, "field", "field")], of_org.unionByName(of_abn), "acn", check=("state", "state"),
     )
 
 

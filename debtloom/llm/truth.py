@@ -227,7 +227,7 @@ def canonical_fields(matter: DataFrame) -> DataFrame:
 
 
 def _fields_of(matter: DataFrame, fields: Sequence[str]) -> DataFrame:
-    members = settle(companies(matter, "matter_row", "company_name", acn_canon(F.col("acn"))).select("matter_row", "company"), "companies")
+    members = settle(companies(matter, "matter_row", "company_name", acn_canon(F.col("acn"))), "companies")
     return settle(canonical_fields(matter.where("matter_row is not null")).join(members, "matter_row").select("matter_row", "company", "source", "day", *fields), "matter-fields")
 
 

@@ -5,7 +5,8 @@ from debtloom.llm.addresses import parse, same_place, same_place_pairs
 from debtloom.llm.graph import connected_components
 from debtloom.llm.history import BatchIndex, known_notices
 from debtloom.llm.linkage import em_weights
-from debtloom.llm.matching import BITS, bit_vector, hamming_cores, match_entities
+from debtloom.llm.matching import match_entities
+from debtloom.llm.vectors import BITS, RADIUS, bit_vector, hamming_cores
 from debtloom.llm.names import parse_name
 from debtloom.llm.companies import companies
 from debtloom.llm.truth import CHANGE, claims, judged_rows, present_values, source_quality, true_values
@@ -96,14 +97,19 @@ def test_prefix_join_against_brute_force(spark):
 
 
 def test_multi_index_against_brute_force(spark):
-    from debtloom.llm.matching import RADIUS
-    from debtloom.llm.variants import near_words
-
     u = cores(spark).withColumn("v", bit_vector(F.col("core")))
     a, b = u.alias("a"), u.alias("b")
     bits = F.bit_count(F.col("a.v").bitwiseXOR(F.col("b.v")))
-    want = {tuple(r) for r in a.join(b, (F.col("a.u") < F.col("b.u")) & (F.col("a.head") == F.col("b.head")) & (bits <= RADIUS)).where(near_words(F.col("a.core"), F.col("b.core"))).select("a.u", "b.u").collect()}
-    assert {(r.a, r.b) for r in hamming_cores(u.drop("v"), u.drop("v")).collect()} == want and want and BITS == 64
+    ends = (F.substring("a.core", 1, 1) == F.substring("b.core", 1, 1)) | (F.substring("a.core", -1, 1) == F.substring("b.core", -1, 1))
+    want = {tuple(r) for r in a.join(b, (F.col("a.u") < F.col("b.u")) & (F.col("a.head") == F.col("b.head")) & (bits <= RADIUS) & ends).select("a.u", "b.u").collect()}
+    units = u.drop("v").withColumn("sought", F.lit(True))
+    got = {(r.a, r.b) for r in hamming_cores(units).collect()}
+    assert want <= got and want and BITS == 64
+    # What is found beyond is equal but for both ends.
+    words = {r.u: r.core for r in u.collect()}
+    assert all(words[x][1:-1] == words[y][1:-1] for x, y in got - want)
+    some = units.withColumn("sought", F.col("u") % 3 == 0)
+    assert {(r.a, r.b) for r in hamming_cores(some).collect()} == {(x, y) for x, y in got if x % 3 == 0 or y % 3 == 0}
 
 
 def test_matches(spark):
@@ -111,9 +117,9 @@ def test_matches(spark):
     right = spark.createDataFrame([(10, "Larkspru Timber P/L"), (11, "Finch Foods"), (12, None), (13, "Timber Larkspur")], "r int, d string")
     alias = spark.createDataFrame([(11, "Finch Fds Pty Ltd")], "r int, o string")
     numbers = spark.createDataFrame([(13, "123"), (11, "123")], "r int, number string")
-    got = {(x.l, x.r): x.confidence for x in match_entities(left, "l", "n", F.col("acn"), right, "r", "d", [(alias, "o", "org", 1.0)], numbers, "number").collect()}
+    got = {(x.l, x.r): x.confidence for x in match_entities(left, "l", "n", F.col("acn"), right, "r", "d", [(alias, "o", "org")], numbers, "number").collect()}
     assert set(got) == {(1, 10), (1, 13)} and all(0.5 <= c <= 1 for c in got.values())
-    assert match_entities(left.limit(0), "l", "n", F.col("acn"), right, "r", "d", [(alias, "o", "org", 1.0)], numbers, "number").count() == 0
+    assert match_entities(left.limit(0), "l", "n", F.col("acn"), right, "r", "d", [(alias, "o", "org")], numbers, "number").count() == 0
 
 
 def test_matches_by_what_the_lookups_lead_to(spark):
@@ -121,7 +127,7 @@ def test_matches_by_what_the_lookups_lead_to(spark):
     right = spark.createDataFrame([(10, "Larkspur Timber Pty Ltd", "NSW"), (11, "LARKSPRU TIMBER", None), (12, "Bramble Marine", "SA"), (13, "Teasel Hire", "WA"), (14, "Clover Fuel", "QLD")], "r int, d string, state string")
     alias = spark.createDataFrame([(10, "Finch Fds P/L"), (14, "Ada Finch")], "r int, o string")
     numbers = spark.createDataFrame([(12, "123"), (13, "77")], "r int, number string")
-    args = (left, "l", "n", F.col("acn"), right, "r", "d", [(alias, "o", "client", 0.5)], numbers, "number")
+    args = (left, "l", "n", F.col("acn"), right, "r", "d", [(alias, "o", "client")], numbers, "number")
     got = {(x.l, x.r): x.confidence for x in match_entities(*args, check=("state", "state")).collect()}
     # A name unlike the row's own, by an alias of any spelling of the row, and a number's company with all its rows.
     assert set(got) == {(1, 10), (1, 11), (2, 12), (3, 12), (4, 13)} and all(0.5 <= c <= 1 for c in got.values())
