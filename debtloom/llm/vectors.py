@@ -33,7 +33,7 @@ def _parts(v: Column) -> list[Column]:
     return out
 
 
-def _contexts(left: bool) -> Column:
+def head_contexts(left: bool) -> Column:
     """What two heads must have in common to be compared: the whole head, its initial if one side has no more, or nothing if one has none."""
     head, letter = F.col("head"), F.substring("head", 1, 1)
     tag = lambda t, c=None: F.concat(F.lit(t), c) if c is not None else F.lit(t)
@@ -60,7 +60,7 @@ def hamming_cores(units: DataFrame, verified: Column | None = None, radius: int
         ends = [F.xxhash64(F.lit("first"), F.substring("core", 1, 1)), F.xxhash64(F.lit("last"), F.substring("core", -1, 1))]
         inner = F.array(F.xxhash64(F.lit("inner"), F.expr("substring(core, 2, length(core) - 2)")))
         places = F.concat(*[F.array(*[F.xxhash64(p, e) for p in _parts(F.col("v"))]) for e in ends], F.when(F.length("core") > 4, inner).otherwise(F.array().cast("array<bigint>")))
-        each = v.select("u", "core", "v", F.explode(_contexts(left)).alias("c"), "family", places.alias("places"))
+        each = v.select("u", "core", "v", F.explode(head_contexts(left)).alias("c"), "family", places.alias("places"))
         return each.select("u", "core", "v", F.transform("places", lambda p: F.xxhash64(p, F.col("c"), F.col("family"))).alias("keys")).select("u", "core", "v", F.explode("keys").alias("key"))
 
     a, b = keyed(units.where("sought"), True).alias("a"), keyed(units, False).alias("b")

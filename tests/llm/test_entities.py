@@ -182,16 +182,40 @@ def test_batches(spark):
     df = spark.createDataFrame(rows, "arrival_id bigint, batch_no int, source_id string, company_name string, acn string, appointment_type string, appointment_date string").withColumn("key", F.lit("clash")).withColumn("day", F.lit(1))
     for each in (1, 2, 24):
         got = {(r.first_arrival_id, r.arrival_id) for r in known_notices(df, batches_a_round=each).collect()}
-        assert got - {(8, 9)} == {(1, 2), (1, 3), (5, 7)}, each
+        assert got == {(1, 2), (1, 3), (5, 7)}, each
     assert known_notices(df.limit(0)).count() == 0
 
 
+NOTICE = "arrival_id bigint, batch_no int, source_id string, company_name string, acn string, appointment_type string, appointment_date string"
+
+
 def test_an_index_is_used_again(spark, tmp_path):
-    schema = "arrival_id bigint, batch_no int, source_id string, company_name string, acn string, appointment_type string, appointment_date string"
+    first = spark.createDataFrame([(1, 1, None, "Larkspur Timber", None, "Receiver", "2026-01-05"), (3, 1, "N9", None, "0", "Receiver", "2026-01-05")], NOTICE)
+    assert known_notices(first, BatchIndex(spark, str(tmp_path / "index"))).count() == 0
+    later = spark.createDataFrame([(12, 2, None, "Larkspru Timber", None, "Receiver", "2026-01-05"), (13, 2, "n/9", "Finch Foods", None, "Receiver", "2026-01-06"), (14, 2, None, "Mallow Steel", "000", "Receiver", "2026-01-05")], NOTICE)
+    # Another object on the same path, and a third one that sees the segments of both.
+    assert {tuple(r) for r in known_notices(later, BatchIndex(spark, str(tmp_path / "index"))).collect()} == {(1, 12)}
+    last = spark.createDataFrame([(21, 3, None, "Larkspr Timber", None, "Receiver", "2026-01-05"), (22, 3, "N9", "Finch Foods P/L", None, "Receiver", "2026-01-06")], NOTICE)
     index = BatchIndex(spark, str(tmp_path / "index"))
-    assert known_notices(spark.createDataFrame([(1, 1, None, "Larkspur Timber", None, "Receiver", "2026-01-05")], schema), index).count() == 0
-    later = spark.createDataFrame([(2, 2, None, "Larkspru Timber", None, "Receiver", "2026-01-05")], schema)
-    assert [tuple(r) for r in known_notices(later, index).collect()] == [(1, 2)]
+    assert {tuple(r) for r in known_notices(last, index).collect()} == {(1, 21), (3, 22)}
+    assert index.segments("names") and sum(s[2] for s in index.segments("notices")) >= 6
+
+
+def test_chains_of_notices_lead_to_the_first_however_they_are_batched(spark):
+    names = ["larkspurton", "larkspurtin", "larksqurtin", "parksqurtin", "parksqurtix", "parxsqurtix"]
+    rows = [(i + 1, i + 1, None, f"{n} Timber", None, "Receiver", "2026-01-05") for i, n in enumerate(names)]
+    want = None
+    for each in (1, 2, 6):
+        got = {tuple(r) for r in known_notices(spark.createDataFrame(rows, NOTICE), batches_a_round=each).collect()}
+        want = want or got
+        assert got == want == {(1, i) for i in range(2, 7)}, each
+
+
+def test_minwise_bands_find_words_half_alike():
+    from debtloom.llm.history import minwise_bands
+
+    assert set(minwise_bands("larkspurton")) & set(minwise_bands("larkspurtn")) and len(minwise_bands("")) == len(minwise_bands("x" * 5000))
+    assert len(set(minwise_bands("larkspurton")) & set(minwise_bands("yarrowdale"))) <= 2
 
 
 def weigh(said, quality=(0.85, 0.9)):
