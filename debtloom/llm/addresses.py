@@ -212,7 +212,8 @@ def same_place(addresses: DataFrame, address: str, least: float = 0.5) -> DataFr
     a, b = keyed.alias("a"), keyed.alias("b")
     x, y = (lambda f: F.col(f"a.{f}")), (lambda f: F.col(f"b.{f}"))
     boxed = x("box") != ""
-    compared = a.join(b, (x("key") == y("key")) & (x("node") < y("node"))).select(
+    # What is exploded is never broadcast: its size isn't known beforehand.
+    compared = a.join(b.hint("merge"), (x("key") == y("key")) & (x("node") < y("node"))).select(
         x("node").alias("a"),
         y("node").alias("b"),
         boxed.alias("boxed"),

@@ -33,7 +33,7 @@ def number_classes(use: DataFrame) -> DataFrame:
     each = use.select("entity", "number", "n", F.explode(thirds).alias("third"))
     leaders = each.groupBy("entity", "third").agg(F.max(F.struct("n", "number")).alias("m"))
     near = F.when(F.levenshtein(F.col("number"), F.col("m.number")) <= SLIP, F.struct("m.n", "m.number"))
-    first = settle(each.join(leaders, ["entity", "third"]).groupBy("entity", "number").agg(F.max(near)["number"].alias("owner")), "number-owners")
+    first = settle(each.join(leaders.hint("merge"), ["entity", "third"]).groupBy("entity", "number").agg(F.max(near)["number"].alias("owner")), "number-owners")
     again = first.select("entity", F.col("number").alias("owner"), F.col("owner").alias("last"))
     return first.join(again, ["entity", "owner"]).select("entity", "number", F.col("last").alias("owner"))
 
@@ -86,4 +86,4 @@ def _same_number(use: DataFrame) -> DataFrame:
     each = use.select("*", bit_vector(F.col("core")).alias("v"), F.explode(F.concat(F.array(F.lit(0).cast("bigint")), bands)).alias("band"))
     leaders = each.groupBy("number", "band").agg(F.max(F.struct("n", "e", "v", "core", "head")).alias("m"))
     like = (F.col("core") == "") | ((dice(F.col("v"), F.col("m.v")) >= 0.4) & F.coalesce(agrees(F.col("head"), F.col("m.head")), F.lit(True)))
-    return each.join(leaders, ["number", "band"]).where((F.col("e") != F.col("m.e")) & (F.col("m.core") != "") & like).select("e", F.col("m.e").alias("f")).distinct()
+    return each.join(leaders.hint("merge"), ["number", "band"]).where((F.col("e") != F.col("m.e")) & (F.col("m.core") != "") & like).select("e", F.col("m.e").alias("f")).distinct()

@@ -17,8 +17,9 @@ from debtloom.llm.variants import near_words
 from debtloom.llm.vectors import head_contexts
 from debtloom.session import scratch_path, settle
 
-#: Bands of two minwise hashes: bigram sets with two fifths in common share a band with a probability of 0.992, with half in common of 0.9997.
-BANDS, ROWS = 28, 2
+#: Bands of two minwise hashes: bigram sets with two fifths in common share a band with a probability of 0.97, with half in common of 0.997. Names of
+#: which one has no trade, or its initial only, meet in FEWER bands: with two thirds in common, as one wrong letter leaves them, 0.99.
+BANDS, ROWS, FEWER = 20, 2, 8
 #: Rows that a bucket of the index holds about; the number of buckets grows with what is stored.
 BUCKET_ROWS = 500_000
 #: Two feeds may date one appointment so many days apart; WINDOW is the width of the windows of time in the keys.
@@ -99,12 +100,13 @@ class BatchIndex:
 
     def lookup(self, table: str, keys: DataFrame) -> DataFrame | None:
         """``keys`` joined with what is stored under them; None while nothing is."""
-        found = [keys.alias("b").join(s.alias("a"), F.col("a.key") == F.col("b.key")) for s in self.read(table)]
+        # What is exploded is never broadcast: its size isn't known beforehand.
+        found = [keys.alias("b").hint("merge").join(s.alias("a"), F.col("a.key") == F.col("b.key")) for s in self.read(table)]
         return reduce(DataFrame.union, found) if found else None
 
     def append(self, table: str, rows: DataFrame) -> None:
-        """Add a segment, with the smaller ones before it."""
-        rows = settle(rows.select(*[c.split()[0] for c in self.TABLES[table].split(", ")]), f"append-{table}")
+        """Add a segment, with the smaller ones before it; ``rows`` are read twice."""
+        rows = rows.select(*[c.split()[0] for c in self.TABLES[table].split(", ")])
         n, old, merged = rows.count(), self.segments(table), []
         if not n:
             return
@@ -127,8 +129,10 @@ class BatchIndex:
 
 def name_keys(names: DataFrame, probing: bool) -> DataFrame:
     """One row per name, context of its head and band; and one for its own id, under which it is known."""
-    each = names.select("nid", "core", "head", F.explode(head_contexts(probing)).alias("c"), "bands").select("nid", "core", "head", F.transform("bands", lambda h, i: F.xxhash64(i, h, F.col("c"))).alias("keys"))
-    return each.select("nid", "core", "head", F.explode("keys").alias("key")).unionByName(names.select("nid", "core", "head", F.col("nid").alias("key")))
+    few = F.when(F.col("c").startswith("T"), F.col("bands")).otherwise(F.slice("bands", 1, FEWER))
+    each = names.select("nid", "core", "head", F.explode(head_contexts(probing)).alias("c"), "bands").select("nid", "core", "head", F.transform(few, lambda h, i: F.xxhash64(i, h, F.col("c"))).alias("keys"))
+    own = names.select("nid", "core", "head", F.array("nid").alias("keys"))
+    return each.unionByName(own).select("nid", "core", "head", F.explode("keys").alias("key"))
 
 
 def notice_keys(notices: DataFrame, probing: bool) -> DataFrame:
@@ -170,7 +174,7 @@ _WHAT = ["core", "head", "acn", "sid", "day", "kind"]
 def _near_names(index: BatchIndex, notices: DataFrame) -> DataFrame:
     """``nid, near``: the names of this round with all near ones known or new, themselves among them; new ones are stored."""
     names = settle(signed(notices.where("core != ''").select("nid", "core", "head").distinct()), "round-names")
-    probing = settle(name_keys(names, True), "round-name-keys")
+    probing = name_keys(names, True)
     stored = index.lookup("names", probing)
     near = lambda df: df.where(same_name("a", "b")).select(F.col("b.nid").alias("nid"), F.col("a.nid").alias("near")).distinct()
     if stored is None:
@@ -178,8 +182,9 @@ def _near_names(index: BatchIndex, notices: DataFrame) -> DataFrame:
     else:
         known = settle(near(stored), "near-known-names")
         new, pairs = names.join(known.where("nid = near").select("nid"), "nid", "left_anti"), [known]
-    keys = settle(name_keys(new, False), "new-name-keys")
-    pairs.append(near(probing.alias("b").join(keys.alias("a"), F.col("a.key") == F.col("b.key"))))
+        new = settle(new, "new-names")
+    keys = name_keys(new, False)
+    pairs.append(near(probing.alias("b").hint("merge").join(keys.alias("a"), F.col("a.key") == F.col("b.key"))))
     index.append("names", keys)
     return settle(reduce(DataFrame.unionByName, pairs).groupBy("nid").agg(F.collect_set("near").alias("near")), "near-names")
 
@@ -235,12 +240,12 @@ def known_notices(batches: DataFrame, index: BatchIndex | None = None, batches_a
         own = notice_keys(notices.select("*", F.col("id").alias("first"), F.col("batch").alias("first_batch")), False)
         earlier = F.struct("a.first_batch", "a.first") < F.struct("b.batch", "b.id")
         kept = lambda df, inside: df.where(same_appointment("a", "b") & earlier).select("b.id", "a.first", "a.first_batch", F.lit(inside).alias("inside")).distinct()
-        links = kept(probing.alias("b").join(own.alias("a"), F.col("a.key") == F.col("b.key")), True)
+        links = kept(probing.alias("b").hint("merge").join(own.alias("a"), F.col("a.key") == F.col("b.key")), True)
         before = index.lookup("notices", probing)
         if before is not None:
             links = links.unionByName(kept(before, False))
         first = _first_notices(notices, settle(links, "round-links"))
-        index.append("notices", notice_keys(notices.join(first, "id"), False))
+        index.append("notices", settle(notice_keys(notices.join(first, "id"), False), "notice-keys"))
         members = part.select("id", key.alias("g")).join(notices.select("g", F.col("id").alias("n")), "g").join(first.withColumnRenamed("id", "n"), "n").where("first != id")
         out.append(settle(members.select(F.col("first").alias("first_arrival_id"), F.col("id").alias("arrival_id")), "round-known"))
     if not out:

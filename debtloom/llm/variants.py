@@ -51,7 +51,8 @@ def similar_cores(units: DataFrame, least: float = GRAM_SIMILARITY) -> DataFrame
     """
     u = settle(_prefixes(units, least), "name-units").withColumn("known", F.length("head")).select("u", "family", "core", "head", "size", "prefix", F.least(F.col("known"), F.lit(2)).alias("known"))
     posted = u.select("u", "family", "core", "head", "size", "known", F.explode("prefix").alias("g"))
-    a, b = posted.alias("a"), posted.alias("b")
+    # What is exploded is never broadcast: its size isn't known beforehand.
+    a, b = posted.alias("a"), posted.hint("merge").alias("b")
     x, y = (lambda f: F.col(f"a.{f}")), (lambda f: F.col(f"b.{f}"))
     close = (x("u") != y("u")) & (x("size") >= F.lit(least) * y("size")) & (y("size") >= F.lit(least) * x("size")) & near_words(x("core"), y("core"))
     same = (x("family") == y("family")) & (x("g") == y("g"))
