@@ -1,7 +1,6 @@
 """Scalar functions over text, all as Columns that stay in the JVM."""
 
-from __future__ import annotations
-
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -81,19 +80,27 @@ def token_sort(c: Column) -> Column:
     return F.array_join(F.array_sort(F.filter(F.split(c, " "), lambda w: w != "")), " ")
 
 
+def longest_common(a: str, b: str) -> int:
+    """Length of the longest common subsequence, a row of the table as the bits of one number."""
+    places: dict[str, int] = {}
+    for i, c in enumerate(a):
+        places[c] = places.get(c, 0) | 1 << i
+    whole = (1 << len(a)) - 1
+    row = whole
+    for c in b:
+        hit = row & places.get(c, 0)
+        row = ((row + hit) | (row - hit)) & whole
+    return len(a) - row.bit_count()
+
+
 def common_subsequence(a: Column, b: Column) -> Column:
-    """Length of the longest common subsequence, by one row of the table at a time."""
-    chars_b = chars(b)
-    empty = F.transform(F.sequence(F.lit(0), F.length(b)), lambda _: F.lit(0))
+    """Length of the longest common subsequence, in Arrow batches; null where either text is."""
 
-    def row(last: Column, x: Column) -> Column:
-        first = F.array(F.lit(0))
-        return F.aggregate(
-            F.sequence(F.lit(1), F.length(b)), first,
-            lambda acc, j: F.concat(acc, F.array(F.when(F.element_at(chars_b, j.cast("int")) == x, F.element_at(last, j.cast("int")) + 1).otherwise(F.greatest(F.element_at(acc, -1), F.element_at(last, (j + 1).cast("int"))))))
-        )
+    @F.arrow_udf("int")
+    def run(x: pa.Array, y: pa.Array) -> pa.Array:
+        return pa.array([None if s is None or t is None else longest_common(s, t) for s, t in zip(x.to_pylist(), y.to_pylist())], pa.int32())
 
-    return F.when((F.length(a) == 0) | (F.length(b) == 0), 0).otherwise(F.element_at(F.aggregate(chars(a), empty, row), -1))
+    return run(a, b)
 
 
 def ratio(a: Column, b: Column) -> Column:
@@ -119,9 +126,9 @@ def looks_like_name(c: Column) -> Column:
 
 
 def cut_address(c: Column) -> tuple[Column, Column]:
-    """A name and the street address behind it, cut where a number is followed by a capital, past the third character."""
-    at = F.regexp_instr(F.substring(c, 4, 100_000), F.lit(r"\b\d+[A-Za-z]?\s+\p{Lu}")) + 3
-    found = at > 3
+    """A name and the street address behind it, cut before the first number that a capital follows, if that is past the fourth character."""
+    at = F.regexp_instr(c, F.lit(r"\s(?=\d+[/\-]?\d*\s+[A-Z])"))
+    found = at > 4
     return F.when(found, F.trim(F.substring(c, F.lit(1), at - 1))).otherwise(c), F.when(found, F.trim(F.substring(c, at, F.length(c))))
 
 
@@ -135,6 +142,21 @@ def safe_file_name(c: Column) -> Column:
     return F.substring(F.trim(F.regexp_replace(c, r"[^A-Za-z0-9 ._-]", "")), 1, 60)
 
 
+def search_url(base: Column, term: Column) -> Column:
+    """The address of a search for a term."""
+    return F.concat(base, F.lit("?SearchText="), F.url_encode(term))
+
+
+def organisation_url(base: Column, number: Column) -> Column:
+    """The address of an organisation's page by the digits of its number."""
+    return F.concat(base, F.lit("?acn="), F.coalesce(digits(number), F.lit("")))
+
+
+def file_url(base: Column, reference: Column) -> Column:
+    """The address of a file's page from any reference with its 32 hex digits; null without."""
+    return F.concat(base, F.nullif(F.regexp_extract(reference, "([0-9A-Fa-f]{32})", 1), F.lit("")))
+
+
 def html_escape(c: Column) -> Column:
     out = c
     for a, b in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#39;")):

@@ -6,21 +6,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from debtloom.functions.canon import date_canon
-from debtloom.functions.people import is_person
+from debtloom.functions.people import BUSINESS_WORDS, TITLES, is_person
 from debtloom.functions.text import (
-    KEY_STOP_WORDS, abn_print, abn_valid, acn_or_null, distinctive, exposure_score, header_key, html_escape, identifier, money, name_key, safe_file_name, short_id, truthy,
+    abn_print, abn_valid, acn_or_null, distinctive, exposure_score, header_key, html_escape, identifier, money, name_key, safe_file_name, short_id, truthy,
 )
 from debtloom.operators.name_match import key_list, longer_key, match_names, near_keys, org_identifiers, org_names
 from debtloom.operators.rollup import admissible, below_floor, cascade, first_rule, ranked, roll_up, scored
+from debtloom.plans.sql import key_sql
 from debtloom.session import table
 
 FLOOR = 5000.0
 
 
-def key_sql(c: str) -> str:
-    return f"coalesce(trim(regexp_replace(regexp_replace(regexp_replace(replace(lower({c}), '&', ' and '), '[^a-z0-9 ]', ' ', 'g'), '\\b({'|'.join(KEY_STOP_WORDS)})\\b', ' ', 'g'), ' +', ' ', 'g')), '')"
-
-
 def _prospects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored(roll_up(admissible(table(spark, sf_dir, "creditor")), "creditor_id"))
 
@@ -109,28 +106,61 @@ def _policies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _POLICY = f"""
 pol AS (
-  SELECT key, arg_min(original, (policy_no, col, original)) AS original FROM (
+  SELECT key, arg_min(original, (policy_no, col, original)) AS original, min((policy_no, col)) AS p FROM (
     SELECT coalesce(policy_no, '') AS policy_no, 0 AS col, trim(policy_name) AS original, {key_sql('policy_name')} AS key FROM policy_list
     UNION ALL SELECT coalesce(policy_no, ''), 1, trim(client_name), {key_sql('client_name')} FROM policy_list)
   WHERE length(key) > 0 GROUP BY key)
 """
 
 
+def matched_sql(keys: str, listed: str) -> str:
+    """``matched``: keys with the list's spelling (``key, original, p1, p2``) by the first rung that gives one; the common subsequence by a row of the table at a time."""
+    return f"""
+exact AS (SELECT k.key, l.original FROM (SELECT DISTINCT key FROM {keys} WHERE length(key) > 0) k JOIN {listed} l USING (key)),
+open_keys AS (SELECT DISTINCT key FROM {keys} WHERE length(key) > 0 AND key NOT IN (SELECT key FROM exact)),
+sorted_keys AS (SELECT key, array_to_string(list_sort(string_split(key, ' ')), ' ') AS s FROM open_keys),
+sorted_list AS (SELECT key AS candidate, array_to_string(list_sort(string_split(key, ' ')), ' ') AS t FROM {listed}),
+near_pairs AS (SELECT * FROM sorted_keys JOIN sorted_list ON abs(length(s) - length(t)) <= 0.08 * (length(s) + length(t)) AND levenshtein(s, t) <= 0.08 * (length(s) + length(t)) + 1e-9),
+lcs AS (
+  SELECT key, candidate, s, t, 0 AS i, list_transform(range(length(t) + 1), lambda x: 0) AS r FROM near_pairs
+  UNION ALL
+  SELECT key, candidate, s, t, i + 1, list_transform(range(1, length(t) + 2), lambda j: list_max(list_transform(range(1, j + 1), lambda q: CASE WHEN q = 1 THEN 0 WHEN s[i + 1] = t[q - 1] THEN greatest(r[q - 1] + 1, r[q]) ELSE r[q] END))) FROM lcs WHERE i < length(s)),
+near_scored AS (SELECT key, candidate, 200.0 * r[length(t) + 1] / (length(s) + length(t)) AS score FROM lcs WHERE i = length(s)),
+near_best AS (SELECT n.key, arg_min(l.original, (-score, l.p1, l.p2)) AS original FROM near_scored n JOIN {listed} l ON l.key = n.candidate WHERE score >= 92 GROUP BY 1),
+longer AS (SELECT k.key, min(l.original) AS original FROM open_keys k JOIN {listed} l ON starts_with(l.key, k.key || ' ') WHERE length(k.key) >= 9 AND NOT regexp_matches(k.key, '^[0-9]+$') GROUP BY 1 HAVING count(*) = 1),
+matched AS (SELECT key, original, 'exact' AS rung FROM exact UNION ALL SELECT key, original, 'near' FROM near_best UNION ALL SELECT key, original, 'longer' FROM longer WHERE key NOT IN (SELECT key FROM near_best))"""
+
+
+def person_sql(name: str) -> str:
+    """Whether a name is that of a person, as ``is_person`` has it."""
+    bare = rf"regexp_replace(regexp_replace(regexp_replace({name}, '(?i)\bc/[o-].*$', ''), '\([^)]*\)', ' ', 'g'), '\s+\d{{1,4}}$', '')"
+    bare = f"regexp_replace(regexp_replace(trim(regexp_replace({bare}, ' +', ' ', 'g')), '^[ .,-]+|[ .,-]+$', '', 'g'), ' +', ' ', 'g')"
+    words = ", ".join(f"'{w}'" for w in BUSINESS_WORDS)
+    titles = ", ".join(f"'{w}'" for w in TITLES)
+    fine = f"regexp_matches(w, '^[A-Za-z]\\.?$') OR (regexp_matches(w, '^[A-Z][A-Za-z''-]*$') AND NOT regexp_matches(w, '^[A-Z]{{2,}}$') AND lower(w) NOT IN ({words}))"
+    part = f"len(list_filter(string_split(p, ' '), lambda w: w <> '')) BETWEEN 2 AND 4 AND len(list_filter(string_split(p, ' '), lambda w: w <> '' AND NOT ({fine}))) = 0"
+    return f"""coalesce((SELECT CASE WHEN b = '' OR regexp_matches(b, '[0-9&]') THEN false WHEN lower(replace(string_split(b, ' ')[1], '.', '')) IN ({titles}) THEN true
+  ELSE len(list_filter(string_split_regex(b, '(?i) and '), lambda p: NOT ({part}))) = 0 END FROM (SELECT {bare} AS b)), false)"""
+
+
 def qualify_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
-    clients = _policies(spark, sf_dir).select(F.col("key").alias("name_key"), F.col("original").alias("client"))
-    rows = _prospects(spark, sf_dir).join(clients, "name_key", "left")
+    """Prospects with the first reason against each: a small exposure, a rule, a person, a client by an equal, near or longer name."""
+    rows = _prospects(spark, sf_dir)
+    clients = match_names(rows.select(F.col("name_key").alias("key")), _policies(spark, sf_dir)).select(F.col("key").alias("name_key"), F.col("original").alias("client"))
     category, reason = first_rule(F.col("display_name"), RULES)
-    judged = cascade(rows, [below_floor(FLOOR), (category.isNotNull(), reason), (F.col("client").isNotNull(), F.concat(F.lit("Client: "), F.col("client")))])
-    return judged.select("name_key", "display_name", "total_exposure_aud", "score", "disqualified_reason", "qualified")
+    steps = [below_floor(FLOOR), (category.isNotNull(), reason), (is_person(F.col("display_name")), F.lit("Individual")), (F.col("client").isNotNull(), F.concat(F.lit("Client: "), F.col("client")))]
+    return cascade(rows.join(clients, "name_key", "left"), steps).select("name_key", "display_name", "total_exposure_aud", "score", "disqualified_reason", "qualified")
 
 
-_CASCADE = f"""{_ROLL}, {_POLICY},
+_LISTED = "listed AS (SELECT key, original, p[1] AS p1, p[2] AS p2 FROM pol)"
+_CASCADE = f"""{_ROLL.replace("WITH k AS", "WITH RECURSIVE k AS")}, {_POLICY}, {_LISTED}, {matched_sql("(SELECT name_key AS key FROM p)", "listed")},
 judged AS (
   SELECT name_key, display_name, total_exposure_aud, score, matter_count, exposure_known,
          CASE WHEN exposure_known AND total_exposure_aud < {FLOOR} THEN 'Exposure $' || format('{{:,}}', CAST(round_even(total_exposure_aud, 0) AS BIGINT)) || ' is below $5,000'
               {' '.join(f"WHEN regexp_matches(display_name, '(?i){p}') THEN '{r}'" for p, _, r in RULES)}
-              WHEN pol.original IS NOT NULL THEN 'Client: ' || pol.original END AS disqualified_reason
-  FROM p LEFT JOIN pol ON pol.key = p.name_key)
+              WHEN {person_sql('display_name')} THEN 'Individual'
+              WHEN m.original IS NOT NULL THEN 'Client: ' || m.original END AS disqualified_reason
+  FROM p LEFT JOIN matched m ON m.key = p.name_key)
 """
 
 
@@ -254,6 +284,13 @@ FROM (SELECT o_orderkey, number, list_transform(string_split(number, ''), lambda
         "repeat_exposure": _ROLL + "SELECT name_key, display_name, matter_count, total_exposure_aud FROM p WHERE matter_count > 1 ORDER BY total_exposure_aud DESC, name_key LIMIT 10",
         "ranked_prospects": _CASCADE + "SELECT name_key, score, disqualified_reason IS NULL AS qualified, total_exposure_aud FROM judged ORDER BY qualified DESC, score DESC, total_exposure_aud DESC, name_key LIMIT 100",
         "policy_exact": f"WITH {_POLICY}, {keys} SELECT key, original FROM keys JOIN pol USING (key)",
+        "person_or_business": f"SELECT creditor_name, {person_sql('creditor_name')} AS is_person FROM (SELECT DISTINCT creditor_name FROM creditor WHERE creditor_name IS NOT NULL)",
+        "name_match_cascade": f"WITH RECURSIVE {_POLICY}, {_LISTED}, {keys}, {matched_sql('keys', 'listed')} SELECT key, original, rung FROM matched",
+        "policy_fuzzy": f"""WITH RECURSIVE {_POLICY}, {keys}, k AS (SELECT key, array_to_string(list_sort(string_split(key, ' ')), ' ') AS s FROM keys WHERE length(key) > 0), l AS (SELECT key AS candidate, array_to_string(list_sort(string_split(key, ' ')), ' ') AS t FROM pol),
+near_pairs AS (SELECT * FROM k JOIN l ON abs(length(s) - length(t)) <= 0.08 * (length(s) + length(t)) AND levenshtein(s, t) <= 0.08 * (length(s) + length(t)) + 1e-9),
+lcs AS (SELECT key, candidate, s, t, 0 AS i, list_transform(range(length(t) + 1), lambda x: 0) AS r FROM near_pairs UNION ALL
+  SELECT key, candidate, s, t, i + 1, list_transform(range(1, length(t) + 2), lambda j: list_max(list_transform(range(1, j + 1), lambda q: CASE WHEN q = 1 THEN 0 WHEN s[i + 1] = t[q - 1] THEN greatest(r[q - 1] + 1, r[q]) ELSE r[q] END))) FROM lcs WHERE i < length(s))
+SELECT key, candidate, round(200.0 * r[length(t) + 1] / (length(s) + length(t)), 6) AS score FROM lcs WHERE i = length(s) AND 200.0 * r[length(t) + 1] / (length(s) + length(t)) >= 92""",
         "policy_prefix_unique": f"""WITH {_POLICY}, {keys} SELECT keys.key, min(pol.key) AS candidate FROM keys JOIN pol ON starts_with(pol.key, keys.key || ' ')
 WHERE length(keys.key) >= 9 AND NOT regexp_matches(keys.key, '^[0-9]+$') GROUP BY 1 HAVING count(*) = 1""",
         "crm_identifier_match": """WITH ids AS (SELECT org_id, right(d, 9) AS number FROM (SELECT org_id, regexp_replace(unnest(custom_fields), '[^0-9]', '', 'g') AS d FROM crm_org) WHERE length(d) IN (9, 11)),

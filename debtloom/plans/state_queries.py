@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from debtloom.functions.canon import present, squeeze
-from debtloom.functions.listing import cell_rows, is_listing, page_counts, tab_rows
+from debtloom.functions.listing import tab_rows
 from debtloom.functions.markup import label_values, link_targets
 from debtloom.functions.text import absolute_url, acn_or_null, file_stem, html_escape, local_gate, matter_key, money
 from debtloom.operators.state import first_by, merge_state, open_rows, ordinal_in, prune, replace_by_key, upsert, within
@@ -148,38 +148,10 @@ def status_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def page_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The evidence of a creditor listing in each document, taken as one page with a cell per line."""
-    d = table(spark, sf_dir, "documents")
-    counts = page_counts(F.replace(F.coalesce("text", F.lit("")), F.lit("\t"), F.lit("\n")))
-    return d.select("doc_id", *[c.alias(n) for n, c in counts.items()], is_listing(counts).alias("is_listing"))
-
-
-def document_survey(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How many documents of each type hold a listing, and the most answers in one."""
-    pages = page_gate(spark, sf_dir).join(table(spark, sf_dir, "documents").select("doc_id", "doc_type"), "doc_id")
-    return pages.groupBy("doc_type").agg(F.count("*").alias("n"), F.count_if("is_listing").alias("n_listing"), F.max("n_yes_no").alias("most_answers"), F.round(F.count_if("is_listing") / F.count("*") * 100, 4).alias("percent"))
-
-
 def listing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tab_rows(table(spark, sf_dir, "documents"), "doc_id", "text").select("doc_id", "line_no", "creditor_name", "address", "related_party", F.col("amount_aud").cast("double").alias("amount_aud"), "amount_known")
 
 
-def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every debt written into pages of fifty, a cell per line."""
-    c = table(spark, sf_dir, "creditor")
-    cell = lambda x: F.regexp_replace(F.coalesce(x, F.lit("")), r"\s*\n\s*", ", ")
-    amount = F.when(F.coalesce("amount_known", F.lit(True)) & (F.col("amount_aud") > 0), F.concat(F.lit("$"), F.format_number(F.col("amount_aud").cast("decimal(18,2)"), 2))).otherwise("TBC")
-    lines = F.concat_ws("\n", cell(F.col("creditor_name")), cell(F.col("address")), F.when(F.coalesce("related_party", F.lit(False)), "Yes").otherwise("No"), amount)
-    return c.groupBy(F.floor(F.col("creditor_id") / 50).alias("page")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("creditor_id", lines.alias("l")))), lambda x: x["l"]), "\n").alias("text"))
-
-
-def parse_cells_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The debts read back from their pages, counted by what was read."""
-    rows = cell_rows(_pages(spark, sf_dir), "page", "text")
-    return rows.groupBy("creditor_name", "related_party", "amount_known").agg(F.count("*").alias("n"), F.sum(F.col("amount_aud").cast("decimal(18,2)")).cast("double").alias("total"))
-
-
 def panel_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Matters written as a panel of labels and values, and read back."""
     m = table(spark, sf_dir, "matter")
@@ -229,30 +201,23 @@ def debts_by_industry(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     fs = (
         ledger_merge, replace_by_matter, open_matters, purchase_queue, check_order_capped, queue_upsert_prune, feed_window, feed_profile, month_histogram, lookback_sweep, notice_filter, union_feeds, first_wins,
-        matter_ids, status_counts, page_gate, document_survey, listing_rows, parse_cells_roundtrip, panel_details, page_links, document_rank, weekly_gate, inbox_review, debts_by_industry,
+        matter_ids, status_counts, listing_rows, panel_details, page_links, document_rank, weekly_gate, inbox_review, debts_by_industry,
     )
     return {f.__name__: f for f in fs}
 
 
 def oracle_sql() -> dict[str, str]:
-    from debtloom.plans.roll_queries import _MONEY, key_sql
+    from debtloom.plans.roll_queries import _MONEY
+    from debtloom.plans.sql import SPACES as spaces
+    from debtloom.plans.sql import key_sql
 
     day = lambda c: f"try_cast(substr({c}, 1, 10) AS DATE)"
     acn = "CASE WHEN length(regexp_replace(acn, '[^0-9]', '', 'g')) BETWEEN 1 AND 9 THEN lpad(regexp_replace(acn, '[^0-9]', '', 'g'), 9, '0') END"
     fill = ", ".join(f"CASE WHEN coalesce(k.{c}, '') = '' THEN coalesce(f.{c}, k.{c}) ELSE k.{c} END AS {c}" for c in _STATE)
     fillers = "('', '-', '--', 'n/a', 'na', 'none', 'null', 'nil', 'unknown', 'not stated', 'not known', 'not available', 'tba', 'tbc', 'tbd', '?', '.')"
-    spaces = r"'[\s\x{00a0}\x{2000}-\x{200b}\x{202f}\x{3000}\x{feff}]+'"
     said = lambda c: f"CASE WHEN lower(trim(regexp_replace({c}, {spaces}, ' ', 'g'))) NOT IN {fillers} THEN trim(regexp_replace({c}, {spaces}, ' ', 'g')) END AS {c}"
     liq = "coalesce(contains(lower(appointment_type), 'liquidation'), false)"
     in_days = lambda w: f"({day('first_seen')} IS NULL OR {day('first_seen')} >= DATE '{AS_OF}' - {w})"
-    gate = r"""WITH l AS (SELECT doc_id, doc_type, lower(coalesce(text, '')) AS t, string_split_regex(replace(coalesce(text, ''), chr(9), chr(10)), '\r?\n') AS lines FROM documents),
-c AS (SELECT doc_id, doc_type, CAST(len(list_filter(lines, lambda x: regexp_matches(x, '^\s*(?i:yes|no)\s*$'))) AS INTEGER) AS n_yes_no,
-  CAST(len(list_filter(lines, lambda x: regexp_matches(x, '^\s*\$?\s*(?:\d{1,3}(?:,\d{3})+|\d+)(?:\.\d{2})?\s*$'))) AS INTEGER) AS n_money,
-  CAST(len(list_filter(lines, lambda x: regexp_matches(x, '(?i)\b(?:yes|no)\b\s+\$?\s*(?:\d{1,3}(?:,\d{3})+(?:\.\d{2})?|\d+\.\d{2})\s*$'))) AS INTEGER) AS n_inline,
-  regexp_matches(t, 'list of creditors|creditor listing|schedule of creditors|details of creditors') AS has_heading FROM l),
-g AS (SELECT *, (has_heading AND n_yes_no >= 2) OR (n_yes_no >= 2 AND n_money >= 2) OR (has_heading AND n_inline >= 2) AS is_listing FROM c)
-"""
-    listing_name = r"regexp_replace(coalesce(creditor_name, ''), '\s*\n\s*', ', ', 'g')"
     return {
         "ledger_merge": f"""WITH k AS ({_ledger_sql('min')}), f AS ({_ledger_sql('max')})
 SELECT coalesce(k.matter_id, f.matter_id) AS matter_id, {fill}, CASE WHEN f.matter_id IS NOT NULL THEN '{AS_OF}' END AS last_seen, k.matter_id IS NULL AS is_new FROM k FULL OUTER JOIN f ON k.matter_id = f.matter_id""",
@@ -278,14 +243,10 @@ SELECT 'matter' AS feed, source, acn, abn, NULL AS received_at FROM matter UNION
         "first_wins": "SELECT source_id, min(matter_row) AS matter_row, arg_min((company_name,), matter_row)[1] AS company_name FROM matter WHERE source_id IS NOT NULL GROUP BY 1",
         "matter_ids": f"SELECT matter_row, substr(sha256(concat_ws('|', source, coalesce({acn}, {key_sql('company_name')}))), 1, 16) AS id FROM matter",
         "status_counts": f"SELECT source, count(*) AS attempted, count(document_status) AS reached, count(*) FILTER (document_status IS NULL) > count(*) // 2 AS alarm, max({day('last_checked')}) AS newest FROM matter GROUP BY 1",
-        "page_gate": gate + "SELECT doc_id, n_yes_no, n_money, n_inline, has_heading, is_listing FROM g",
-        "document_survey": gate + "SELECT doc_type, count(*) AS n, count(*) FILTER (is_listing) AS n_listing, max(n_yes_no) AS most_answers, round(count(*) FILTER (is_listing) / count(*) * 100, 4) AS percent FROM g GROUP BY 1",
         "listing_rows": r"""WITH l AS (SELECT doc_id, unnest(string_split_regex(text, '\r?\n')) AS line, CAST(generate_subscripts(string_split_regex(text, '\r?\n'), 1) - 1 AS INTEGER) AS line_no FROM documents),
 c AS (SELECT doc_id, line_no, string_split(line, chr(9)) AS c FROM l WHERE contains(line, chr(9))),
 r AS (SELECT doc_id, line_no, trim(c[1]) AS creditor_name, nullif(trim(c[2]), '') AS address, lower(trim(c[3])) AS r, coalesce(try_cast(regexp_replace(trim(c[4]), '[$,\s]', '', 'g') AS DECIMAL(18, 2)), 0) AS a FROM c WHERE len(c) = 4)
 SELECT doc_id, line_no, creditor_name, address, r = 'yes' AS related_party, CAST(a AS DOUBLE) AS amount_aud, a > 0 AS amount_known FROM r WHERE r IN ('yes', 'no') AND length(creditor_name) > 0""",
-        "parse_cells_roundtrip": rf"""WITH c AS (SELECT trim({listing_name}) AS creditor_name, coalesce(related_party, false) AS related_party, coalesce(amount_known, true) AND amount_aud > 0 AS known, CAST(amount_aud AS DECIMAL(18, 2)) AS amount FROM creditor)
-SELECT creditor_name, related_party, coalesce(known, false) AS amount_known, count(*) AS n, CAST(sum(CASE WHEN known THEN amount ELSE 0 END) AS DOUBLE) AS total FROM c WHERE creditor_name <> '' GROUP BY 1, 2, 3""",
         "panel_details": f"SELECT matter_row, {said('company_name')}, {said('practitioner')}, {said('industry')} FROM matter",
         "page_links": """SELECT matter_row, 0 AS pos, 'https://portal.invalid/docs/' || coalesce(source_id, 'none') || '.pdf' AS url FROM matter WHERE source_url IS NOT NULL
 UNION ALL SELECT matter_row, 1, CASE WHEN regexp_matches(source_url, '^https?://') THEN source_url WHEN starts_with(source_url, '/') THEN 'https://portal.invalid' || source_url ELSE 'https://portal.invalid/list/' || source_url END FROM matter WHERE source_url IS NOT NULL""",

@@ -12,7 +12,7 @@ def test_every_oracle_has_a_query():
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
-@pytest.mark.parametrize("name", ["p1_found", "p5_columns", "prospect_rollup", "policy_prefix_unique", "ledger_merge", "parse_cells_roundtrip"])
+@pytest.mark.parametrize("name", ["p1_found", "p5_columns", "prospect_rollup", "policy_prefix_unique", "ledger_merge", "parse_cells_pages", "layout_choice", "crm_match"])
 def test_against_sql(spark, name):
     import duckdb
 

@@ -1,7 +1,9 @@
 from pyspark.sql import functions as F
 from test_functions import lcs
 
-from debtloom.functions.listing import cell_rows, is_listing, page_counts, parse_cells, tab_rows
+from debtloom.functions.listing import cell_rows, is_listing, line_rows, listing_rows, page_counts, parse_cells, tab_rows
+from debtloom.functions.markup import asks_to_log_in, document_links, file_links, form_rows, headed_rows
+from debtloom.operators.desk import filled, first_only, stale_feeds, unnoted
 from debtloom.functions.markup import business_number, label_values, link_targets, table_rows
 from debtloom.operators.name_match import key_list, longer_key, match_names, near_keys, org_identifiers, org_names
 from debtloom.operators.rollup import admissible, below_floor, cascade, ranked, roll_up, scored
@@ -75,11 +77,17 @@ def test_organisations(spark):
 
 
 def test_listings(spark):
-    page = ["3", "List of creditors", "Name", "Address", "Related Party", "Amount", "Larkspur Timber", "12 Mill Rd", "Northtown VIC", "No", "$0.00", "$1,250.00", "Finch Foods", "Yes", "TBC", "Mallow", "No", "words", "words", "words", "words", "words"]
-    assert parse_cells(page) == [("Larkspur Timber", "12 Mill Rd, Northtown VIC", False, 1250.0, True), ("Finch Foods", "", True, 0.0, False)]
-    assert parse_cells(page, "larkspur") == [("Finch Foods", "", True, 0.0, False)]
-    pages = spark.createDataFrame([(1, "\n".join(page)), (2, None), (3, ""), (4, "Fees of $3.00\nno amount")], "p int, t string")
-    assert [(r.p, r.row_no, r.creditor_name) for r in cell_rows(pages, "p", "t").collect()] == [(1, 0, "Larkspur Timber"), (1, 1, "Finch Foods")]
+    page = [
+        "3", "B.", "List of creditors", "Name of creditor", "Related Party (Yes/No)", "ROCAP /", "Identified", "Amount", "Larkspur Timber C/-", "12 Mill Rd", "Northtown VIC", "2124", "No", "$0.00", "$1,250.00",
+        "Report for Mallow Steel Pty Ltd", "No", "$5.00", "Finch Foods", "Yes", "stray", "TBC", "fees", "No", "$7.00", "in the amount of", "No", "$8.00", "Mallow", "No", "words", "words", "words", "words", "words",
+    ]
+    rows = [("Larkspur Timber C/-", "12 Mill Rd Northtown VIC", False, 1250.0, True), ("Report for Mallow Steel Pty Ltd", None, False, 5.0, True), ("Finch Foods", None, True, 0.0, False)]
+    assert parse_cells(page)[:3] == rows and parse_cells([]) == parse_cells(["No", "$5.00"]) == parse_cells(["Yes"] * 3) == []
+    pages = spark.createDataFrame([(1, "\n".join(page), "MALLOW STEEL"), (2, None, None), (3, "", "x"), (4, "Fees of $3.00\nno amount", None)], "p int, t string, d string").withColumn("row_no", F.lit("clash"))
+    got = [(r.p, r.row_no, r.creditor_name, r.address, r.amount_aud, r.amount_known) for r in cell_rows(pages, "p", "t", "d").collect()]
+    assert got == [(1, 0, "Larkspur Timber", "12 Mill Rd Northtown VIC", 1250.0, True), (1, 2, "Finch Foods", None, 0.0, False)]
+    assert [r.creditor_name for r in cell_rows(pages, "p", "t").collect()] == ["Larkspur Timber", "Report for Mallow Steel Pty Ltd", "Finch Foods"]
+    assert cell_rows(pages.limit(0), "p", "t").count() == line_rows(pages.limit(0), "p", "t").count() == 0
     counts = page_counts(F.coalesce("t", F.lit("")))
     assert [r[0] for r in pages.orderBy("p").select(is_listing(counts)).collect()] == [True, False, False, False]
     docs = spark.createDataFrame([(1, "Intro\nName\tAddress\tRelated Party\tAmount\nLarkspur\t1 Mill Rd\tNo\t$1,000.50\nFinch\t\tYes\tTBC\na\tb"), (2, None)], "d int, t string")
@@ -87,6 +95,48 @@ def test_listings(spark):
     assert got == [("Larkspur", "1 Mill Rd", False, 1000.5, True), ("Finch", None, True, 0.0, False)]
 
 
+def test_rows_on_one_line(spark):
+    lines = [
+        "Larkspur Timber Pty Ltd 12 Mill Rd Northtown VIC No 42,500.00", "Finch Foods  Yes | $1,000", "eFreight by Mallow 3/12 Quay St C/- 99.00", "Fees: 3,405.70", "Sorrel Tiles .......... 5,000.00", "Total 9,000.00",
+        "the report of 10 September in the amount of $31,500.00", "A sentence that ends with an amount of 500.00", "Yarrow Glass 1234", "Bramble Steel Pty Ltd No 7.50", "word " * 20 + "5.00", "ab 1.00",
+    ]
+    pages = spark.createDataFrame([(1, "\r\n".join(lines), "Bramble Steel Limited"), (2, None, None)], "p int, t string, d string")
+    got = [(r.creditor_name, r.address, r.related_party, r.amount_aud) for r in line_rows(pages, "p", "t", "d").orderBy("row_no").collect()]
+    assert got == [("Larkspur Timber Pty Ltd", "12 Mill Rd Northtown VIC", False, 42500.0), ("Finch Foods", None, True, 1000.0), ("eFreight by Mallow", "3/12 Quay St C/", False, 99.0)]
+
+
+def test_the_layout_of_a_page_is_the_one_that_gives_rows(spark):
+    cells, rows, prose = "List of creditors\nLarkspur\nNo\n$5.00\nFinch\nYes\nTBC", "Schedule of debts and claims\nLarkspur No 500.00\nFinch Yes 600.00", "List of creditors\nThey owe 500.00"
+    pages = spark.createDataFrame([(1, cells), (2, rows), (3, prose), (4, None)], "p int, t string")
+    assert sorted((r.p, r.layout, r.creditor_name) for r in listing_rows(pages, "p", "t").collect()) == [(1, "cells", "Finch"), (1, "cells", "Larkspur"), (2, "lines", "Finch"), (2, "lines", "Larkspur")]
+
+
+def test_register_pages(spark):
+    html = "<table><tr><td>x</td></tr></table><table><tr><th>Company</th><th>ACN</th><th>Name of firm</th></tr><tr><td>A &amp; B <a href='/n/1'>i</a></td><td></td><td>Q</td></tr><tr><td> </td><td>1</td></tr></table>"
+    pages = spark.createDataFrame([(1, html), (2, None), (3, "<table><tr><th>Date</th></tr><tr><td>1</td></tr></table>")], "p int, h string")
+    got = headed_rows(pages, "p", "h", (("company", "company_name"), ("name", "company_name"), ("acn", "acn")), "company_name").collect()
+    assert [(r.p, r.company_name, r.acn, r.href) for r in got] == [(1, "A & B i", None, "/n/1"), ]
+    links = spark.createDataFrame([(1, f"<a href='/FileInformation/{'a' * 32}'></a><a href='/fileinformation/{'A' * 32}'>One</a><a href='/x/{'b' * 32}'>No</a><a href='/d/r.pdf?x=1'>First Advice</a><a href='/d/s.PDF'>Minutes</a>"), (2, None)], "p int, h string")
+    assert [tuple(r) for r in file_links(links, "p", "h", "fileinformation").collect()] == [("a" * 32, "One", 1)]
+    assert [(r.name, r["rank"]) for r in document_links(links, "p", "h", ("initial", "first advice")).orderBy("rank").collect()] == [("First Advice", 1), ("Minutes", 2)]
+    forms = spark.createDataFrame([(1, "<table><tr><td>15604</td><td>123456789</td></tr><tr><td>Form 5604</td><td>no 0123456789</td><td>1/2/2026</td></tr></table>"), (2, "<p>5604</p>")], "p int, h string")
+    assert [(r.p, r.doc_number, str(r.lodged)) for r in form_rows(forms, "p", "h", "5604").collect()] == [(1, "0123456789", "2026-02-01")]
+    assert [r[0] for r in spark.createDataFrame([("LOG IN <b>Forgot your password</b>",), ("log",), (None,)], "h string").select(asks_to_log_in(F.col("h"))).collect()] == [True, False, False]
+
+
+def test_desk(spark):
+    first = spark.createDataFrame([("a", "", "x"), ("b", "1", None)], "k string, acn string, industry string")
+    panel = spark.createDataFrame([("a", "12 3", "y"), ("b", "9", "z"), ("c", "1", "1")], "k string, acn string, industry string")
+    assert {tuple(r) for r in filled(first, panel, "k", ["acn", "industry"]).collect()} == {("a", "000000123", "x"), ("b", "1", "z")}
+    notes = spark.createDataFrame([(1, 5, ["A", "B"]), (2, 5, ["A"]), (3, 6, ["A"])], "p int, org int, debtors array<string>")
+    there = spark.createDataFrame([(5, "[m] A only"), (6, "A without a mark")], "org int, content string")
+    assert {r.p for r in unnoted(notes, there, "org", "debtors", "[m]").collect()} == {1, 3}
+    assert first_only(first, "series", F.lit(False)).count() == 2 and first_only(first, "acn", F.col("acn") == "1").count() == 1
+    feed = spark.createDataFrame([("s", "2026-01-01"), ("t", None)], "source string, d string")
+    got = {r.source: (r.lag_days, r.stale) for r in stale_feeds(feed, "source", F.col("d").try_cast("date"), F.lit("2026-03-02").cast("date"), 30).collect()}
+    assert got == {"s": (60, True), "t": (None, False)}
+
+
 def test_markup(spark):
     html = "<title>ABN 51 824 753 556 | Larkspur</title><p><b>Company:</b> A &amp; B</p><p>State: VIC</p><a href='/x.pdf'>x</a><table><tr><th>H</th></tr><tr><td>a <i>b</i></td><td>c</td></tr></table>"
     df = spark.createDataFrame([(1, html), (2, None)], "p int, h string")
