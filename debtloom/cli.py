@@ -12,12 +12,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from debtloom.functions.canon import date_canon
-from debtloom.functions.listing import cell_rows, is_listing, page_counts
+from debtloom.functions.listing import is_listing, listing_rows, page_counts
 from debtloom.functions.markup import link_targets, title
 from debtloom.functions.text import matter_key
-from debtloom.operators.rollup import admissible, below_floor, cascade, ranked, roll_up, scored
+from debtloom.operators.desk import CONCLUSIVE
+from debtloom.operators.name_match import key_list
+from debtloom.operators.rollup import admissible, qualify, roll_up, scored
 from debtloom.operators.state import first_by, merge_state, open_rows, replace_by_key
 from debtloom.session import settle, table
+from debtloom.sources import config
 from debtloom.sources.files import describe_headers, document_status
 from debtloom.sources.workbook import write_workbook
 
@@ -44,22 +47,27 @@ def ingest(spark: SparkSession, tables: str, pages: DataFrame) -> tuple[DataFram
     """Creditor rows of landed pages (``matter_id, page, text``) in place of those of the same matters, and the status of each document."""
     text = F.coalesce("text", F.lit(""))
     gate = pages.select("matter_id", "page", "text", is_listing(page_counts(text)).alias("is_listing"))
-    rows = settle(cell_rows(gate.where("is_listing").select(F.to_json(F.struct("matter_id", "page")).alias("id"), "text"), "id", "text").withColumn("matter_id", F.get_json_object("id", "$.matter_id")), "ingested")
+    rows = settle(listing_rows(gate.select(F.to_json(F.struct("matter_id", "page")).alias("id"), "text"), "id", "text").withColumn("matter_id", F.get_json_object("id", "$.matter_id")), "ingested")
     per = rows.groupBy("id").agg(F.count("*").alias("n"))
     status = document_status(gate.withColumn("id", F.to_json(F.struct("matter_id", "page"))).join(per, "id", "left"), "matter_id", "text", "is_listing", "n")
-    read_again = status.where(F.col("status").isin("ok", "no-section", "table-unreadable")).select("matter_id")
+    read_again = status.where(F.col("status").isin(*CONCLUSIVE)).select("matter_id")
     new = rows.select("matter_id", "creditor_name", "address", "related_party", "amount_aud", "amount_known")
     return replace_by_key(table(spark, tables, "creditor"), new, "matter_id", read_again), status
 
 
-def report(spark: SparkSession, tables: str, floor: float) -> dict[str, DataFrame]:
-    """The sheets of the report, by name."""
-    judged = settle(ranked(cascade(scored(roll_up(admissible(table(spark, tables, "creditor")), "creditor_id")), [below_floor(floor)])).withColumn("debtor_industries", F.array_join("debtor_industries", "; ")), "report")
+def report(spark: SparkSession, tables: str, floor: float, rules: list[tuple[str, str, str]] = (), policies: str | None = None) -> dict[str, DataFrame]:
+    """The sheets of the report, by name. ``policies`` is a parquet table of the policy list; without it clients are not told apart."""
+    listed = key_list(spark.read.parquet(policies).withColumn("policy_no", F.coalesce("policy_no", F.lit(""))), ["policy_name", "client_name"], ["policy_no"]) if policies else None
+    prospects = scored(roll_up(admissible(table(spark, tables, "creditor")), "creditor_id"))
+    judged = settle(qualify(prospects, floor, rules, listed).withColumn("debtor_industries", F.array_join("debtor_industries", "; ")), "report")
+    m = table(spark, tables, "matter")
+    due = F.coalesce("form_5604_lodged", F.lit(False)) & ~F.coalesce("creditors_captured", F.lit(False)) if "form_5604_lodged" in m.columns else F.lit(False)
     order = [F.desc("score"), F.desc("total_exposure_aud"), F.asc("name_key")]
     return {
-        "Prospects": judged.where("qualified").orderBy(*order).limit(5000), "Repeat Exposure": judged.where("qualified and matter_count > 1").orderBy(*order).limit(5000),
-        "Excluded": judged.where("not qualified").groupBy("disqualified_reason").agg(F.count("*").alias("n")).orderBy(F.desc("n")).limit(5000),
-        "Matters": table(spark, tables, "matter").orderBy(F.coalesce("company_name", F.lit("")), "matter_row").select("matter_id", "company_name", "acn", "appointment_type").limit(5000),
+        "Prospects": judged.where("qualified").orderBy(*order), "Repeat Exposure": judged.where("qualified and matter_count > 1").orderBy(*order),
+        "Purchase Queue": m.where(due).select("matter_id", "company_name", "acn", "appointment_type").orderBy("matter_id"),
+        "Excluded": judged.where("not qualified").select("display_name", "total_exposure_aud", "matter_count", "disqualified_reason").orderBy("disqualified_reason", "display_name"),
+        "Matters": m.orderBy(F.coalesce("company_name", F.lit("")), "matter_row").select("matter_id", "company_name", "acn", "appointment_type"),
     }
 
 
@@ -78,11 +86,16 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--inbox", help="parquet of landed pages: matter_id, page, text")
     p.add_argument("--out", help="where the result goes: a parquet folder, or a workbook for report")
     p.add_argument("--floor", type=float, default=5000.0)
+    p.add_argument("--rules", help="YAML of rules against prospects: category, reason, patterns")
+    p.add_argument("--policylist", help="parquet of the policy list")
+    p.add_argument("-v", "--verbose", action="store_true")
     p.add_argument("--as-of", default=dt.date.today().isoformat())
     p.add_argument("--table", help="the table that schema or probe looks at")
     p.add_argument("--respect-schedule", action="store_true")
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName("debtloom").getOrCreate()
+    if a.verbose:
+        spark.sparkContext.setLogLevel("INFO")
     marker = f"{(a.out or a.tables).rstrip('/')}.last-run"
     if a.command == "run" and a.respect_schedule and not due(marker, dt.datetime.now()):
         print("not due")
@@ -103,7 +116,7 @@ def main(argv: list[str] | None = None) -> int:
         if not os.path.exists(f"{a.tables}/creditor.parquet"):
             print("no creditor table", file=sys.stderr)
             return 1
-        sheets = report(spark, a.tables, a.floor)
+        sheets = report(spark, a.tables, a.floor, config.rules(config.load(a.rules)) if a.rules else (), a.policylist)
         print(json.dumps(write_workbook(a.out, sheets) if a.out else {n: d.count() for n, d in sheets.items()}))
         if a.command == "run":
             with open(marker, "w") as f:

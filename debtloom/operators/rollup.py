@@ -8,7 +8,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from debtloom.functions.people import is_person
 from debtloom.functions.text import exposure_score, money, name_key
+from debtloom.operators.name_match import match_names
 
 MATTER_FIELDS = ("matter_id", "debtor_company", "amount_aud", "amount_known", "source", "source_document", "debtor_industry", "debtor_state")
 
@@ -62,6 +64,21 @@ def below_floor(floor: float) -> tuple[Column, Column]:
     return F.col("exposure_known") & (F.col("total_exposure_aud") < floor), F.concat(F.lit("Exposure "), money(F.col("total_exposure_aud")), F.lit(f" is below ${floor:,.0f}"))
 
 
+def qualify(prospects: DataFrame, floor: float, rules: Sequence[tuple[str, str, str]], clients: DataFrame | None = None) -> DataFrame:
+    """Prospects with the first reason against each: a small exposure, a rule, a person, a client; every row is kept.
+
+    ``clients`` is a list of names (``key_list``); a prospect is a client by an equal, a near or a longer name.
+    """
+    name = F.col("display_name")
+    _, reason = first_rule(name, rules)
+    steps = [below_floor(floor), (reason.isNotNull(), reason), (is_person(name), F.lit("Individual"))]
+    if clients is not None:
+        matched = match_names(prospects.select(F.col("name_key").alias("key")), clients).select(F.col("key").alias("name_key"), F.col("original").alias("client"))
+        prospects = prospects.join(matched, "name_key", "left")
+        steps.append((F.col("client").isNotNull(), F.concat(F.lit("Client: "), F.col("client"))))
+    return cascade(prospects, steps)
+
+
 def ranked(prospects: DataFrame, limit: int | None = None) -> DataFrame:
     """Qualified rows first, then by score, exposure and key; with ``limit`` a top-k without a full sort."""
     order = prospects.orderBy(F.desc("qualified"), F.desc("score"), F.desc("total_exposure_aud"), F.asc("name_key"))

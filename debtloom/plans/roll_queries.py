@@ -11,7 +11,7 @@ from debtloom.functions.text import (
     abn_print, abn_valid, acn_or_null, distinctive, exposure_score, header_key, html_escape, identifier, money, name_key, safe_file_name, short_id, truthy,
 )
 from debtloom.operators.name_match import key_list, longer_key, match_names, near_keys, org_identifiers, org_names
-from debtloom.operators.rollup import admissible, below_floor, cascade, first_rule, ranked, roll_up, scored
+from debtloom.operators.rollup import admissible, first_rule, qualify, ranked, roll_up, scored
 from debtloom.plans.sql import key_sql
 from debtloom.session import table
 
@@ -145,11 +145,7 @@ def person_sql(name: str) -> str:
 
 def qualify_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prospects with the first reason against each: a small exposure, a rule, a person, a client by an equal, near or longer name."""
-    rows = _prospects(spark, sf_dir)
-    clients = match_names(rows.select(F.col("name_key").alias("key")), _policies(spark, sf_dir)).select(F.col("key").alias("name_key"), F.col("original").alias("client"))
-    category, reason = first_rule(F.col("display_name"), RULES)
-    steps = [below_floor(FLOOR), (category.isNotNull(), reason), (is_person(F.col("display_name")), F.lit("Individual")), (F.col("client").isNotNull(), F.concat(F.lit("Client: "), F.col("client")))]
-    return cascade(rows.join(clients, "name_key", "left"), steps).select("name_key", "display_name", "total_exposure_aud", "score", "disqualified_reason", "qualified")
+    return qualify(_prospects(spark, sf_dir), FLOOR, RULES, _policies(spark, sf_dir)).select("name_key", "display_name", "total_exposure_aud", "score", "disqualified_reason", "qualified")
 
 
 _LISTED = "listed AS (SELECT key, original, p[1] AS p1, p[2] AS p2 FROM pol)"

@@ -21,13 +21,19 @@ class SchemaAlarm(ValueError):
     """A file that doesn't have the columns it must have; what was there instead is in the message."""
 
 
-def json_rows(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A JSON array of records under an explicit schema; an absent path is an empty table, a broken record a row of nulls less."""
+def json_rows(spark: SparkSession, path: str, schema: T.StructType, broken: str | None = None) -> DataFrame:
+    """A JSON array of records under an explicit schema; an absent path is an empty table.
+
+    A broken record raises; with ``broken`` it stays as a row of nulls whose text is in the column of that name, so that nothing is lost unseen.
+    """
+    reader = spark.read.option("multiLine", True)
     try:
-        return spark.read.schema(schema).option("multiLine", True).option("mode", "DROPMALFORMED").json(path)
+        if broken is None:
+            return reader.schema(schema).option("mode", "FAILFAST").json(path)
+        return reader.schema(T.StructType([*schema, T.StructField(broken, T.StringType())])).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", broken).json(path)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e):
-            return spark.createDataFrame([], schema)
+            return spark.createDataFrame([], T.StructType([*schema, T.StructField(broken, T.StringType())]) if broken else schema)
         raise
 
 

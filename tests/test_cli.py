@@ -16,7 +16,11 @@ def test_commands(spark, tmp_path):
     spark.createDataFrame([("m1", 1, page), ("m9", 1, None)], "matter_id string, page int, text string").write.parquet(f"{t}/pages.parquet")
     assert main(["report", "--tables", str(t), "--out", f"{tmp_path}/r.xlsx"]) == 0
     book = sheets_of((tmp_path / "r.xlsx").read_bytes())
-    assert list(book) == ["Prospects", "Repeat Exposure", "Excluded", "Matters"] and book["Prospects"][1][1] == "Larkspur Ltd"
+    assert list(book) == ["Prospects", "Repeat Exposure", "Purchase Queue", "Excluded", "Matters"] and book["Prospects"][1][1] == "Larkspur Ltd"
+    (tmp_path / "rules.yml").write_text("trade:\n  reason: Own trade\n  patterns: [larkspur]\n")
+    spark.createDataFrame([("1", "Finch", None)], "policy_no string, policy_name string, client_name string").write.parquet(f"{t}/policies.parquet")
+    assert main(["report", "--tables", str(t), "--out", f"{tmp_path}/q.xlsx", "--rules", f"{tmp_path}/rules.yml", "--policylist", f"{t}/policies.parquet", "--floor", "5"]) == 0
+    assert [(r[0], r[3]) for r in sheets_of((tmp_path / "q.xlsx").read_bytes())["Excluded"][1:]] == [("Finch", "Client: Finch"), ("Larkspur Ltd", "Own trade")]
     assert main(["collect", "--tables", str(t), "--sources", "asic", "--out", f"{tmp_path}/c", "--as-of", "2026-06-30"]) == 0
     assert spark.read.parquet(f"{tmp_path}/c").where("is_new").count() == 1
     assert main(["watch", "--tables", str(t), "--as-of", "2026-06-30", "--out", f"{tmp_path}/w"]) == 0

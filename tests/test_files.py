@@ -22,6 +22,35 @@ def test_json(spark, tmp_path):
     assert json_rows(spark, str(tmp_path / "s"), schema).count() == 2
 
 
+def test_broken_records_are_not_lost(spark, tmp_path):
+    schema = T.StructType([T.StructField("a", T.StringType())])
+    (tmp_path / "b.json").write_text('[{"a": "x"}, {"a": ')
+    with pytest.raises(Exception):
+        json_rows(spark, str(tmp_path / "b.json"), schema).collect()
+    assert any(r.broken for r in json_rows(spark, str(tmp_path / "b.json"), schema, "broken").collect())
+    assert json_rows(spark, str(tmp_path / "no.json"), schema, "broken").columns == ["a", "broken"]
+
+
+def test_settings(tmp_path, monkeypatch):
+    from debtloom.sources import config
+
+    (tmp_path / "r.yml").write_text("tax:\n  reason: Office\n  patterns: [agl, '^state\\b']\nnone: {}\n")
+    assert config.rules(config.load(str(tmp_path / "r.yml"))) == [(r"\bagl\b", "tax", "Office"), (r"^state\b", "tax", "Office")]
+    monkeypatch.setenv("DEBTLOOM_X", " ")
+    assert config.secret("DEBTLOOM_X") is None
+    with pytest.raises(KeyError):
+        config.secret("DEBTLOOM_X", required=True)
+
+
+def test_long_tables_go_on_in_further_sheets(spark, tmp_path, monkeypatch):
+    from debtloom.sources import workbook
+
+    monkeypatch.setattr(workbook, "SHEET_ROWS", 4)
+    assert write_workbook(str(tmp_path / "l.xlsx"), {"Long": spark.range(7).toDF("n"), "Short": spark.range(1).toDF("n")}) == {"Long": 7, "Short": 1}
+    book = sheets_of((tmp_path / "l.xlsx").read_bytes())
+    assert {n: [r[0] for r in rows[1:]] for n, rows in book.items()} == {"Long": ["0", "1", "2"], "Long (2)": ["3", "4", "5"], "Long (3)": ["6"], "Short": ["0"]}
+
+
 def test_csv_with_a_title(spark, tmp_path):
     (tmp_path / "p.csv").write_text("﻿List of policies,,\nPolicy Name,ACN,Phone\nLarkspur,1,555\nFinch,2,556\n", encoding="utf-8")
     assert sorted(map(tuple, csv_table(spark, str(tmp_path / "p.csv"), ALIASES, "company_name").collect())) == [("Finch", "2"), ("Larkspur", "1")]
