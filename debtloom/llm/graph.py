@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from debtloom.session import settle
+from debtloom.session import forget, settle
 
 
 def connected_components(links: DataFrame, a: str, b: str) -> DataFrame:
@@ -23,7 +23,8 @@ def connected_components(links: DataFrame, a: str, b: str) -> DataFrame:
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
         small = large.groupBy("u").agg(F.min("v").alias("m"))
-        edges = settle(large.join(small, "u").select(F.col("v").alias("x"), "m").where("x != m").select(F.col("x").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v"))).distinct(), "links")
+        before, edges = edges, settle(large.join(small, "u").select(F.col("v").alias("x"), "m").where("x != m").select(F.col("x").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v"))).distinct(), "links")
+        forget(before)
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == seen or not state[0]:
             break

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from debtloom.functions.canon import acn_canon, date_canon, present, type_canon
 from debtloom.llm.companies import companies
 from debtloom.llm.names import parse_person, with_name_parts
-from debtloom.session import settle
+from debtloom.session import forget, settle
 
 #: The quality of the sources is settled once none moves by more than EPS.
 EPS = 2e-3
@@ -187,6 +187,7 @@ def source_quality(claimed: DataFrame, group: str, changing: Sequence[str] = (),
         if quality is not None:
             old = quality.toDF("field", "source", "s", "c")
             moved = now.join(old, ["field", "source"]).agg(F.max(F.greatest(F.abs(F.col("sensitivity") - F.col("s")), F.abs(F.col("specificity") - F.col("c"))))).first()[0]
+            forget(quality)
             if moved is None or moved < EPS:
                 return now
         quality = now
