@@ -1,6 +1,6 @@
 import pytest
 
-from debtloom.llm.sentences import sentence_units, sentences, thai_words
+from debtloom.llm.sentences import lattice_words, sentence_units, sentences
 
 CASES = [
     ["Dr. T. Finch of Larkspur read it at 5 a.m. in Port Mallow.", "The vote was tied!", "Nobody came?!", "Rent accrues at 5.5% p.a. until paid."],
@@ -32,7 +32,7 @@ def test_other_scripts():
     assert units("कुल 5 लेनदारों का शेष है। डॉ. N. Finch ने बैठक की!") == ["कुल 5 लेनदारों का शेष है।", "डॉ. N. Finch ने बैठक की!"]
     assert units("ترأس د. Ada الاجتماع؛ ثم غادر. لماذا؟ أُغلق المستودع!") == ["ترأس د. Ada الاجتماع؛ ثم غادر.", "لماذا؟", "أُغلق المستودع!"]
     assert units("คลังสินค้าที่ Port Finch ถูกขายแล้ว โปรดส่งเอกสารถึง Larkspur Recovery ภายใน 43 วัน เจ้าหนี้ทั้งหมดมี 11 ราย") == ["คลังสินค้าที่ Port Finch ถูกขายแล้ว", "โปรดส่งเอกสารถึง Larkspur Recovery ภายใน 43 วัน", "เจ้าหนี้ทั้งหมดมี 11 ราย"]
-    assert units("เรียน เจ้าหนี้") == ["เรียน เจ้าหนี้"] and "".join(thai_words("เจ้าหนี้ทั้งหมดมี")) == "เจ้าหนี้ทั้งหมดมี"
+    assert units("เรียน เจ้าหนี้") == ["เรียน เจ้าหนี้"] and "".join(lattice_words("เจ้าหนี้ทั้งหมดมี")) == "เจ้าหนี้ทั้งหมดมี"
 
 
 def test_paragraphs_and_listings():
@@ -50,3 +50,27 @@ def test_units_cover_the_text_and_long_texts_are_whole(spark):
     assert ends == len(long)
     text = "A b. C d!  E\n\nF"
     assert "".join(text[a:b] for a, b in sentences(text)).replace(" ", "") == "".join(text.split())
+
+
+def test_the_best_path_leaves_no_quotation_open():
+    assert units('He said "No. It is late." We left. The 5" pipe broke. It leaked.') == ['He said "No. It is late."', "We left.", 'The 5" pipe broke.', "It leaked."]
+    assert units("(See p. 5. It is long.) We left. A stray ( bracket. It stays.") == ["(See p. 5. It is long.) We left.", "A stray ( bracket.", "It stays."]
+    assert units("“One. Two. The end. “Three.” Four.")[-1] == "Four."
+
+
+def test_time_grows_with_the_text():
+    import time
+
+    def took(n, piece):
+        began = time.process_time()
+        assert list(sentences(piece * n))
+        return time.process_time() - began
+
+    for piece in ('He said "no. ', "( a. B ", "« a. B ", '" ' , "A. ( B. ) \" C. \" "):
+        assert took(8000, piece) < 20 * max(took(1000, piece), 0.02), piece
+
+
+def test_other_spaceless_scripts():
+    assert units("ບໍລິສັດປິດແລ້ວ ກະລຸນາສົ່ງເອກະສານ") == ["ບໍລິສັດປິດແລ້ວ", "ກະລຸນາສົ່ງເອກະສານ"]
+    assert units("ကုမ္ပဏီပိတ်ခဲ့သည် ဘဏ်ကပြောသည်။ သူလာမည်။") == ["ကုမ္ပဏီပိတ်ခဲ့သည်", "ဘဏ်ကပြောသည်။", "သူလာမည်။"]
+    assert units("ក្រុមហ៊ុនបិទហើយ សូមផ្ញើឯកសារ។") == ["ក្រុមហ៊ុនបិទហើយ", "សូមផ្ញើឯកសារ។"]
