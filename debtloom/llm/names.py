@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Mapping
 from functools import lru_cache
 from typing import NamedTuple
 
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 #: Words for a trade, with abbreviations.
 _TRADES = (
     "windows wdws wdw;electrical elec elect;marine mar;glass gls;automotive auto autos;waste wst;recruitment recruit rec;irrigation irrig;steel stl;concrete conc;foods fds food;building bldg;timber tmbr;"
-    "furniture furn;nurseries nurs nursery;catering cater;joinery join;cleaning clng;roofing roof rfg1;printing prtg print;fabrication fab;refrigeration refrig rfrg;hire hr;insulation insul;plumbing plmb plumb;"
+    "furniture furn;nurseries nurs nursery;catering cater;joinery join;cleaning clng;roofing roof;printing prtg print;fabrication fab;refrigeration refrig rfrg;hire hr;insulation insul;plumbing plmb plumb;"
     "tiles tls tile;surveying surv survey;paints pnts paint;produce prod;logistics log logist;scaffolding scaff;engineering eng engr;quarries qry quarry;freight frt;earthmoving earthmvg;security sec;"
     "tyres tyr tyre;textiles text;fuel fl;packaging pkg pack"
 )
@@ -24,7 +24,7 @@ _ROLES = (
     "works wks wrks;distributors dist distrib;solutions soln solns solution;wholesale wsale whsale;holdings hldgs holding;group grp;trading tdg"
 )
 #: Words for a public body, with abbreviations.
-_BODIES = "shire;council cncl;city cty;regional reg;library lib;university uni univ;water wtr;corporation corp;hills hls;commissioner commr comm comr;office off;department;authority auth;district dist1;taxation;revenue;levies levy levys;trade;state;government govt"
+_BODIES = "shire;council cncl;city cty;regional reg;library lib;university uni univ;water wtr;corporation corp;hills hls;commissioner commr comm comr;office off;department;authority auth;district;taxation;revenue;levies levy levys;trade;state;government govt"
 #: Given names, with short forms.
 _GIVEN = (
     "francis frank fran;deborah deb debbie;leonard leo len;yvonne von vonnie;nicholas nick nic;william bill will wm;jennifer jen jenny;harold hal harry;margaret maggie marg peg;susannah sue susie zanna;"
@@ -49,11 +49,11 @@ _MISREAD = re.compile(r"(?=[a-z\d]*[a-z]{2})[a-z\d]*[a-z][a-z\d]*\d[a-z\d]*|\d[a
 
 
 def _table(text: str, kind: str) -> dict[str, tuple[str, str]]:
-    return {w.rstrip("1"): (kind, entry.split()[0]) for entry in text.split(";") for w in entry.split()}
+    return {w: (kind, entry.split()[0]) for entry in text.split(";") for w in entry.split()}
 
 
-_KNOWN: dict[str, tuple[str, str]] = {**_table(_GIVEN, "given"), **_table(_BODIES, "body"), **_table(_ROLES, "role"), **_table(_TRADES, "trade"), "rfg": ("trade", "r"), "dist": ("role", "distributors")}
-_FULL = {w: k for w, k in _KNOWN.items() if len(w) >= 4 and (w == k[1])}
+#: The words of the lists; a short form of several trades is the letter they begin with.
+LISTED: dict[str, tuple[str, str]] = {**_table(_GIVEN, "given"), **_table(_BODIES, "body"), **_table(_ROLES, "role"), **_table(_TRADES, "trade"), "rfg": ("trade", "r")}
 
 
 def _deletions(word: str, depth: int) -> set[str]:
@@ -65,12 +65,6 @@ def _deletions(word: str, depth: int) -> set[str]:
     return out
 
 
-_NEIGHBOURS: dict[str, list[str]] = {}
-for _w in _FULL:
-    for _d in _deletions(_w, 1 if len(_w) < 7 else 2):
-        _NEIGHBOURS.setdefault(_d, []).append(_w)
-
-
 def edits(a: str, b: str) -> int:
     """Insertions, deletions, substitutions and swaps of neighbours between two words."""
     before, last = [], list(range(len(b) + 1))
@@ -84,38 +78,52 @@ def edits(a: str, b: str) -> int:
     return last[-1]
 
 
-@lru_cache(maxsize=200_000)
-def known_word(token: str) -> tuple[str, str, int] | None:
-    """``(kind, word, errors)`` of a word of the lists, as it is, abbreviated, or with a typing error (two in long words)."""
-    found = _KNOWN.get(token)
-    if found:
-        return *found, 0
-    if len(token) < 3:
+class Vocabulary:
+    """Words that many names share: what kind each is, and which word it stands for."""
+
+    def __init__(self, words: Mapping[str, tuple[str, str]]):
+        self.words = dict(words)
+        self.full = {w: k for w, k in self.words.items() if len(w) >= 4 and w == k[1]}
+        self.neighbours: dict[str, list[str]] = {}
+        for w in self.full:
+            for d in _deletions(w, 1 if len(w) < 7 else 2):
+                self.neighbours.setdefault(d, []).append(w)
+        self.known_word = lru_cache(maxsize=200_000)(self._known_word)
+        self.parts_of = lru_cache(maxsize=200_000)(self._parts_of)
+        self.parse = lru_cache(maxsize=100_000)(self._parse)
+
+    def _known_word(self, token: str) -> tuple[str, str, int] | None:
+        """``(kind, word, errors)`` of a word as it is, abbreviated, or with a typing error (two in long words)."""
+        found = self.words.get(token)
+        if found:
+            return *found, 0
+        if len(token) < 3:
+            return None
+        if len(token) >= 4:
+            # Cut off at the end of a field.
+            longer = {w for w, k in self.full.items() if w.startswith(token) and k[0] != "given"}
+            if len(longer) == 1:
+                return *self.full[longer.pop()], 1
+        near = {w for d in _deletions(token, 1 if len(token) < 6 else 2) for w in self.neighbours.get(d, ())}
+        best = min(((edits(token, w), w[0] != token[0], w) for w in near), default=None)
+        if best and best[0] <= (1 if len(best[2]) < 7 else 2) and (best[0] == 1 or not best[1]):
+            return *self.full[best[2]], best[0]
         return None
-    if len(token) >= 4:
-        # Cut off at the end of a field.
-        longer = {w for w, k in _FULL.items() if w.startswith(token) and k[0] != "given"}
-        if len(longer) == 1:
-            return *_FULL[longer.pop()], 1
-    near = {w for d in _deletions(token, 1 if len(token) < 6 else 2) for w in _NEIGHBOURS.get(d, ())}
-    best = min(((edits(token, w), w[0] != token[0], w) for w in near), default=None)
-    if best and best[0] <= (1 if len(best[2]) < 7 else 2) and (best[0] == 1 or not best[1]):
-        return *_FULL[best[2]], best[0]
-    return None
-
-
-@lru_cache(maxsize=200_000)
-def _parts_of(token: str) -> tuple[str, ...]:
-    """A run-together token parted at a known word at its end or beginning."""
-    if len(token) >= 8 and not known_word(token):
-        for cut in range(3, len(token) - 3):
-            tail = token[cut:]
-            if (tail in _FULL and _FULL[tail][0] != "given") or tail in ("sons", "bros", "daughters", "brothers"):
-                return *_parts_of(token[:cut]), tail
-        for cut in range(len(token) - 3, 4, -1):
-            if token[:cut] in _FULL and _FULL[token[:cut]][0] in ("trade", "role"):
-                return token[:cut], *_parts_of(token[cut:])
-    return (token,)
+
+    def _parts_of(self, token: str) -> tuple[str, ...]:
+        """A run-together token parted at a known word at its end or beginning."""
+        if len(token) >= 8 and not self.known_word(token):
+            for cut in range(3, len(token) - 3):
+                tail = token[cut:]
+                if (tail in self.full and self.full[tail][0] != "given") or tail in ("sons", "bros", "daughters", "brothers"):
+                    return *self.parts_of(token[:cut]), tail
+            for cut in range(len(token) - 3, 4, -1):
+                if token[:cut] in self.full and self.full[token[:cut]][0] in ("trade", "role"):
+                    return token[:cut], *self.parts_of(token[cut:])
+        return (token,)
+
+    def _parse(self, name: str | None) -> Name:
+        return _parse_with(name, self)
 
 
 class Name(NamedTuple):
@@ -127,9 +135,9 @@ class Name(NamedTuple):
     rest: str  #: what may be missing: the role, the middle name
 
 
-@lru_cache(maxsize=100_000)
-def parse_name(name: str | None) -> Name:
+def _parse_with(name: str | None, vocabulary: Vocabulary) -> Name:
     """The parts of a name in any order, with annotations, legal forms and family words left out."""
+    known_word, full = vocabulary.known_word, vocabulary.full
     t = name or ""
     if "&" in t:
         for entity, sign in _ENTITY.items():
@@ -154,13 +162,13 @@ def parse_name(name: str | None) -> Name:
             tokens += [c for c in token if c != "."]
             continue
         token = token.replace(".", "").replace("'", "").replace("&", "").replace("+", "")
-        tokens += _parts_of(token) if token else ()
+        tokens += vocabulary.parts_of(token) if token else ()
     if len(tokens) > 2 and len(tokens[-1]) > 1 and tokens[-1] not in _LEGAL and not known_word(tokens[-1]):
         # The end of a field may cut the last word.
         if "limited".startswith(tokens[-1]) or "proprietary".startswith(tokens[-1]) or "pty".startswith(tokens[-1]):
             tokens[-1] = "limited"
         elif len(tokens[-1]) == 3:
-            longer = [w for w, k in _FULL.items() if w.startswith(tokens[-1]) and k[0] in ("trade", "role")]
+            longer = [w for w, k in full.items() if w.startswith(tokens[-1]) and k[0] in ("trade", "role")]
             if len(longer) == 1:
                 tokens[-1] = longer[0]
     legal = any(w in _LEGAL and w not in ("co", "the") for w in tokens)
@@ -237,6 +245,24 @@ def parse_name(name: str | None) -> Name:
     return Name("company" if trades or roles or legal or kin else "other", text, trades[0] if trades else "", roles[0] if roles else "")
 
 
+DEFAULT = Vocabulary(LISTED)
+
+
+def parse_name(name: str | None) -> Name:
+    """The parts of a name by the lists."""
+    return DEFAULT.parse(name)
+
+
+def known_word(token: str) -> tuple[str, str, int] | None:
+    return DEFAULT.known_word(token)
+
+
+@lru_cache(maxsize=8)
+def extended(learnt: tuple[tuple[str, str, str], ...]) -> Vocabulary:
+    """The lists with words learnt (``word, kind, stands_for``), one for all batches of a process."""
+    return Vocabulary({**{w: (kind, full) for w, kind, full in learnt}, **LISTED})
+
+
 @lru_cache(maxsize=100_000)
 def parse_person(name: str | None) -> Name:
     """The parts of what is known to be a person's name: the surname is before a comma, else the last word."""
@@ -258,13 +284,14 @@ def _words(t: str) -> list[str]:
 NAME_FIELDS = "kind string, core string, head string, rest string"
 
 
-def with_name_parts(df: DataFrame, key: str, name: str, parser: Callable[[str | None], Name] = parse_name) -> DataFrame:
-    """``key`` and the parts of ``name``, parsed in Arrow batches. Null names have empty parts."""
+def with_name_parts(df: DataFrame, key: str, name: str, parser: Callable[[str | None], Name] = parse_name, learnt: tuple[tuple[str, str, str], ...] = ()) -> DataFrame:
+    """``key`` and the parts of ``name``, parsed in Arrow batches, by the lists and the words ``learnt``. Null names have empty parts."""
     only = df.select(F.col(key).alias("k"), F.col(name).alias("n"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parse = extended(learnt).parse if learnt else parser
         for batch in batches:
-            rows = [parser(n) for n in batch.column(1).to_pylist()]
+            rows = [parse(n) for n in batch.column(1).to_pylist()]
             columns = list(zip(*rows)) if rows else [[]] * 4
             yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(list(c), pa.string()) for c in columns]], ["k", "kind", "core", "head", "rest"])
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from debtloom.llm.graph import connected_components
 from debtloom.llm.names import agrees, grams, with_name_parts
+from debtloom.llm.vocabulary import learn_words
 from debtloom.session import settle
 
 #: Least Jaccard similarity of the q-grams of two rare parts, and least weighted similarity of two names.
@@ -94,7 +95,7 @@ def parsed_entities(columns: Sequence[tuple[DataFrame, str]], least: float = NAM
     name; ``node`` stands for equal parts, ``u`` for equal parts but ``rest``. ``pairs_of`` gets the units (``u, family, core, head, sought``); of
     those ``sought``, in which a name of the table ``sought`` (``name``) stands, it has to give all near ones.
 
-    A name's parts are its rare word (the invented word or surname), what tells sisters apart (trade, kind of body, given name) and
+    Words that many names share and no list knows are learnt first (``learn_words``). A name's parts are its rare word (the invented word or surname), what tells sisters apart (trade, kind of body, given name) and
     what may be missing (role, middle name). Pairs with near rare words come from ``pairs_of``. Their similarity is the mean
     over parts, each weighed by the logarithm of its rarity among all names, so that rare words count most; equal parts count
     1, initials 0.9, near words the share of letters they have in common; a part missing on one side counts nothing. Pairs from
@@ -106,7 +107,8 @@ def parsed_entities(columns: Sequence[tuple[DataFrame, str]], least: float = NAM
     count once; empty tables give no rows.
     """
     texts = reduce(DataFrame.unionByName, [df.select(F.col(c).alias("name")) for df, c in columns]).where("length(trim(name)) > 0").distinct()
-    named = with_name_parts(texts, "name", "name").withColumn("family", F.when(F.col("kind").isin("person", "body"), F.col("kind")).otherwise("company"))
+    texts = settle(texts, "name-texts")
+    named = with_name_parts(texts, "name", "name", learnt=learn_words(texts, "name")).withColumn("family", F.when(F.col("kind").isin("person", "body"), F.col("kind")).otherwise("company"))
     part = ["family", "core", "head", "rest"]
     named = named.withColumn("node", F.xxhash64(*part)).withColumn("u", F.xxhash64("family", "core", "head"))
     if sought is not None:

@@ -66,6 +66,28 @@ def test_variants(spark):
     assert entities_of_names([(df, "name")]).count() == len({n for n in NAMES if n and n.strip()})
 
 
+def test_trades_that_no_list_has_are_learnt(spark):
+    import random
+
+    from debtloom.llm.vocabulary import learn_words
+
+    random.seed(8)
+    syllables = ["bel", "dra", "fen", "gol", "hul", "jor", "kel", "mip", "nov", "pru", "qui", "ras", "tov", "wex", "yan", "zub"]
+    rare = sorted({"".join(random.choices(syllables, k=3)) for _ in range(400)})[:150]
+    trades, roles = {"apiary": "apry", "velodrome": "vldrm", "carillon": "crln", "observatory": "obsvty"}, ["ensemble", "assembly"]
+    names = [f"{w.title()} {form} {role}" for i, w in enumerate(rare) for t in (list(trades)[i % 4], list(trades)[(i + 1) % 4]) for form in (t, trades[t]) for role in (roles[i % 2], "")]
+    df = spark.createDataFrame([(" ".join(n.split()),) for n in names], "name string").distinct()
+    learnt = {w: (kind, full) for w, kind, full in learn_words(df, "name")}
+    assert {w: full for w, (_, full) in learnt.items()} == {**{t: t for t in trades}, **{a: t for t, a in trades.items()}, **{r: r for r in roles}}
+    assert all(learnt[t][0] == "trade" for t in trades) and all(learnt[r][0] == "role" for r in roles)
+    # Spellings of one name are put together, sisters in another trade are not.
+    found = {r.name: r.entity for r in entities_of_names([(df, "name")]).collect()}
+    w = rare[0].title()
+    same = [f"{w} apiary ensemble", f"{w} apry ensemble", f"{w} apiary", f"{w} apry"]
+    assert len({found[n] for n in same}) == 1 and found[f"{w} velodrome"] != found[same[0]]
+    assert learn_words(df.limit(5), "name") == () == learn_words(df.limit(0), "name")
+
+
 def cores(spark):
     import random
 
