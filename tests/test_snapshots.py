@@ -48,3 +48,21 @@ def test_against_brute_force(spark):
         want |= {(new, k, "added") for k in by[new].keys() - by[old].keys()} | {(new, k, "removed") for k in by[old].keys() - by[new].keys()}
         want |= {(new, k, "changed") for k in by[new].keys() & by[old].keys() if by[new][k] != by[old][k]}
     assert set(changes(spark, rows)) == want
+
+
+def test_kept_runs_give_the_same_changes_one_by_one(spark, tmp_path):
+    import pytest
+
+    from debtloom.operators.snapshots import SnapshotStore
+
+    rows = [(v, f"k{i}", str((i * v) % 7 if i % 3 else 1)) for v in (1, 2, 5) for i in range(60) if (i + v) % 4]
+    df = spark.createDataFrame(rows, "version int, key string, value string")
+    want = {(r.version, r.key, r.change_kind) for r in snapshot_changes(df, "key", "version", {"value": F.col("value")}).collect()}
+    got = set()
+    for v in (1, 2, 5):
+        store = SnapshotStore(spark, str(tmp_path / "runs"), "key", "version")
+        got |= {(r.version, r.key, r.change_kind) for r in store.append(df.where(F.col("version") == v), {"value": F.col("value")}).collect()}
+    assert got == want and len(store.runs()) == 3
+    for bad in (df.where("version = 2"), df.limit(0), df):
+        with pytest.raises(ValueError):
+            store.append(bad, {"value": F.col("value")})
