@@ -19,7 +19,7 @@ FLOOD_ROUNDS, FLOOD_EPS = 30, 1e-3
 
 _SKETCH = ("n_values", "avg_len", "avg_words", "digit_share", "upper_share", "b0", "b1", "b2", "b3")
 _SKETCH_TYPE = "n_values:bigint,avg_len:double,avg_words:double,digit_share:double,upper_share:double,b0:bigint,b1:bigint,b2:bigint,b3:bigint"
-_PROFILE = f"struct<fold:string,shown:string,json_type:string,nested:string,{_SKETCH_TYPE},usage:array<struct<json_type:string,{_SKETCH_TYPE}>>,beside:array<string>>"
+_PROFILE = f"struct<fold:string,shown:string,json_type:string,nested:string,{_SKETCH_TYPE},usage:array<struct<json_type:string,{_SKETCH_TYPE}>>>"
 
 
 def fold_key(c: Column) -> Column:
@@ -131,16 +131,17 @@ def _usage(a: Mapping, b: Mapping) -> float:
     return (sum(w * x for w, x in common) + 0.1 * 0.3) / (weight + 0.1)
 
 
-def flood(left: Sequence[Mapping], right: Sequence[Mapping]) -> np.ndarray:
+def flood(left: Sequence[Mapping], right: Sequence[Mapping], apart: frozenset[tuple[str, str]] = frozenset()) -> np.ndarray:
     """Similarity flooding over two schema graphs; the scores of all pairs of columns, 0 to 1.
 
     The graphs' nodes are columns, words of their names, JSON types and nested members. A pair of columns is joined to the
-    pairs of their name words, types and members; scores flow along these edges in both directions until they stay put.
+    pairs of their name words, types and members; scores flow along these edges in both directions until they stay put. Keys that are ``apart``
+    (in order) stand side by side somewhere and can't mean the same.
     """
 
     def first(a: Mapping, b: Mapping) -> float:
         name = max(_overlap(_name_parts(a["shown"]), _name_parts(b["shown"])), _overlap(_grams(a["fold"]), _grams(b["fold"])))
-        if any(y["fold"] in (() if x["beside"] is None else x["beside"]) for x, y in ((a, b), (b, a))):
+        if (min(a["fold"], b["fold"]), max(a["fold"], b["fold"])) in apart:
             return 0.0
         return 0.3 * _content(a, b) + 0.55 * _usage(a, b) + 0.15 * name
 
@@ -187,12 +188,12 @@ def correspondences(scores: np.ndarray, least: float) -> list[tuple[int, int]]:
     return out
 
 
-def compare_schemas(before: Sequence[Mapping], now: Sequence[Mapping], least: float = RENAME_SCORE) -> list[tuple[str, str, str | None]]:
+def compare_schemas(before: Sequence[Mapping], now: Sequence[Mapping], least: float = RENAME_SCORE, apart: frozenset[tuple[str, str]] = frozenset()) -> list[tuple[str, str, str | None]]:
     """Changes from one file's columns to the next one's: ``(column_name, change_kind, earlier_name)``."""
     old, new = {c["fold"]: c for c in before}, {c["fold"]: c for c in now}
     gone, come = [c for k, c in sorted(old.items()) if k not in new], [c for k, c in sorted(new.items()) if k not in old]
     pairs = [(old[k], c) for k, c in sorted(new.items()) if k in old]
-    renamed = correspondences(flood(gone, come), least) if gone and come else []
+    renamed = correspondences(flood(gone, come, apart), least) if gone and come else []
     out: list[tuple[str, str, str | None]] = []
     for i, j in renamed:
         out.append((come[j]["shown"], "renamed", gone[i]["shown"]))
@@ -203,18 +204,20 @@ def compare_schemas(before: Sequence[Mapping], now: Sequence[Mapping], least: fl
     return out
 
 
-def with_usage(profiles: DataFrame, file_key: str) -> DataFrame:
-    """Adds what all files say of a column's key: ``usage``, the sketch of its values, one entry per JSON type; ``beside``, the keys
-    it stands beside in some file. Keys of one meaning are not used side by side. Equal schemas are put together before pairs of keys are made.
-    """
+def with_usage(profiles: DataFrame) -> DataFrame:
+    """Adds ``usage``, what all files say of a column's key: the sketch of its values, one entry per JSON type."""
     mean = lambda c: F.try_divide(F.sum(F.col(c) * F.col("n_values")), F.sum("n_values")).alias(c)
     by_type = profiles.where("json_type is not null").groupBy("fold", "json_type").agg(
         F.sum("n_values").alias("n_values"), *[mean(c) for c in _SKETCH[1:5]], *[F.bit_or(c).alias(c) for c in _SKETCH[5:]]
     )
     usage = by_type.groupBy("fold").agg(F.sort_array(F.collect_list(F.struct("json_type", *_SKETCH))).alias("usage"))
+    return profiles.join(usage, "fold", "left")
+
+
+def side_by_side(profiles: DataFrame, file_key: str) -> DataFrame:
+    """``a, b``: keys that stand beside each other in some file, in order. Equal schemas are put together before pairs of keys are made."""
     shapes = profiles.groupBy(file_key).agg(F.sort_array(F.collect_list("fold")).alias("all")).select("all").distinct()
-    beside = shapes.select(F.explode("all").alias("fold"), "all").select("fold", F.explode("all").alias("other")).where("fold != other").groupBy("fold").agg(F.sort_array(F.collect_set("other")).alias("beside"))
-    return profiles.join(usage.join(beside, "fold", "full_outer"), "fold", "left")
+    return shapes.select(F.explode("all").alias("a"), "all").select("a", F.explode("all").alias("b")).where("a < b").distinct()
 
 
 def schema_changes(df: DataFrame, feed: str, file_key: str, file_order: Sequence[str], payload: str, least: float = RENAME_SCORE) -> DataFrame:
@@ -225,16 +228,22 @@ def schema_changes(df: DataFrame, feed: str, file_key: str, file_order: Sequence
     null has no type and is never retyped; an empty table gives no rows. Only schemas, one row a file, are put in order.
     """
     files = df.where(df[feed].isNotNull() & df[file_key].isNotNull()).groupBy(df[file_key]).agg(F.min(df[feed]).alias("__feed"), F.min(F.struct(*[df[o] for o in file_order])).alias("__order"))
-    schemas = with_usage(settle(column_profiles(df, file_key, payload), "profiles"), file_key).groupBy(file_key).agg(F.sort_array(F.collect_list(F.struct("fold", "shown", "json_type", "nested", *_SKETCH, "usage", "beside"))).cast(f"array<{_PROFILE}>").alias("__now"))
+    profiles = settle(column_profiles(df, file_key, payload), "profiles")
+    schemas = with_usage(profiles).groupBy(file_key).agg(F.sort_array(F.collect_list(F.struct("fold", "shown", "json_type", "nested", *_SKETCH, "usage"))).cast(f"array<{_PROFILE}>").alias("__now"))
     run = Window.partitionBy("__feed").orderBy("__order", file_key)
     pairs = files.join(schemas, file_key).withColumn("__before", F.lag("__now").over(run)).where("__before is not null")
     # Nothing to say of files whose columns and types stand as before.
     mark = lambda c: F.transform(c, lambda x: F.struct(x["fold"], x["json_type"]))
-    pairs = pairs.where(mark("__now") != mark("__before")).select("__feed", F.col(file_key).alias("__file"), "__before", "__now")
+    pairs = settle(pairs.where(mark("__now") != mark("__before")).select("__feed", F.col(file_key).alias("__file"), "__before", "__now"), "schema-pairs")
+    # Of the keys that went and those that came, the pairs that are not one since they stand side by side elsewhere.
+    folds = lambda c: F.transform(c, lambda x: x["fold"])
+    swaps = pairs.select("__file", F.explode(F.array_except(folds("__before"), folds("__now"))).alias("g"), F.array_except(folds("__now"), folds("__before")).alias("cs")).select("__file", "g", F.explode("cs").alias("c"))
+    apart = swaps.select("__file", F.least("g", "c").alias("a"), F.greatest("g", "c").alias("b")).join(side_by_side(profiles, file_key), ["a", "b"]).groupBy("__file").agg(F.collect_set(F.struct("a", "b")).alias("__apart"))
+    pairs = pairs.join(apart, "__file", "left").select("__feed", "__file", "__before", "__now", "__apart")
 
     def changes(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            rows = [(r[0], r[1], *x) for r in part.itertuples(index=False, name=None) for x in compare_schemas(list(r[2]), list(r[3]), least)]
+            rows = [(r[0], r[1], *x) for r in part.itertuples(index=False, name=None) for x in compare_schemas(list(r[2]), list(r[3]), least, frozenset((p["a"], p["b"]) for p in (() if r[4] is None else r[4])))]
             yield pd.DataFrame(rows, columns=["feed", "file", "column_name", "change_kind", "earlier_name"])
 
     kinds = dict(pairs.dtypes)
@@ -259,12 +268,16 @@ def key_mapping(profiles: DataFrame, file_key: str, fields: Sequence[str], least
     per field of the wanted schema, are all that the driver holds.
     """
     named = dict(zip([re.sub(r"[\s_]+", "", f.lower()) for f in fields], fields))
-    vocabulary = with_usage(profiles, file_key).groupBy("fold").agg(
-        F.max("shown").alias("shown"), F.first("usage").alias("usage"), F.first("beside").alias("beside"), F.max("nested").alias("nested"), F.max_by("json_type", "n_values").alias("json_type"),
+    vocabulary = with_usage(profiles).groupBy("fold").agg(
+        F.max("shown").alias("shown"), F.first("usage").alias("usage"), F.max("nested").alias("nested"), F.max_by("json_type", "n_values").alias("json_type"),
         *[F.max_by(c, F.struct("n_values", c)).alias(c) for c in _SKETCH],
     )
     targets = [r.asDict(recursive=True) for r in vocabulary.where(F.col("fold").isin(*named)).collect()]
     targets.sort(key=lambda t: t["fold"])
+    # Which of the wanted fields' own keys a key stands beside: no more than there are fields.
+    beside = side_by_side(profiles, file_key)
+    beside = beside.unionByName(beside.select(F.col("b").alias("a"), F.col("a").alias("b"))).where(F.col("b").isin(*named)).groupBy(F.col("a").alias("fold")).agg(F.collect_set("b").alias("beside"))
+    vocabulary = vocabulary.join(beside, "fold", "left")
 
     def match(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
@@ -273,7 +286,8 @@ def key_mapping(profiles: DataFrame, file_key: str, fields: Sequence[str], least
                 if c["fold"] in named:
                     rows.append((c["fold"], named[c["fold"]], 1.0))
                 elif targets:
-                    scores = flood([c], targets)[0]
+                    apart = frozenset((min(c["fold"], o), max(c["fold"], o)) for o in (() if c["beside"] is None else c["beside"]))
+                    scores = flood([c], targets, apart)[0]
                     best = int(scores.argmax())
                     if scores[best] >= least:
                         rows.append((c["fold"], named[targets[best]["fold"]], float(scores[best])))
