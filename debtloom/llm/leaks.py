@@ -18,7 +18,12 @@ SMALL_WORDS = frozenset(
     "your our my me us him any some each every all both either neither one "
     "der die das den dem des ein eine einen einem einer eines dieser diese dieses diesen diesem jener jene jenes jenen welcher welche welches welchen und oder aber im am auf aus bei "
     "beim mit nach von vom vor zu zum zur für über unter um durch gegen ohne bis seit während ob dass daß wenn wie weil da ist sind war waren wird werden wurde wurden hat haben hatte "
-    "hatten nicht kein keine keinen sich er sie es ihr ihre ihren sein seine seinen man".split()
+    "hatten nicht kein keine keinen sich er sie es ihr ihre ihren sein seine seinen man "
+    "el la los las lo un una unos unas del al en con por para sin sobre entre desde hasta que quien cual cuando como y o u pero si se su sus este esta estos estas ese esa esos esas es son era fue ha han "
+    "le les une des du au aux et ou où dans par pour avec sans sur sous entre vers chez dont qui que quand comme si mais ce cet cette ces se sa ses leur leurs est sont était a ont ne pas "
+    "il gli di da su nel nella dei delle della o e um uma os as do da dos das no na nos nas ao "
+    "का की के को में से पर और या है हैं था थे थी यह वह ये वे इस उस जो कि ने तक भी "
+    "في من على إلى عن مع أو أن إن هذا هذه ذلك تلك التي الذي كان كانت قد لم لا ما ثم".split()
 )
 SMALL_SIGNS = frozenset("的这那该此其了在于从与和及或被把将由向对以为是有又再之而则")
 

@@ -71,11 +71,14 @@ def p8_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p8_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How full the containers are."""
+    """How full the containers are, and how many there would be at least, all tokens being poured in without regard to texts."""
     each = p8_containers(spark, sf_dir).groupBy("pack_id", "container_id").agg(F.sum(F.col("token_end") - F.col("token_start")).alias("tokens"))
     sizes = table(spark, sf_dir, "pack_size")
     total = each.groupBy("pack_id").agg(F.count("*").alias("n_containers"), F.sum("tokens").alias("n_tokens"), F.max("tokens").alias("fullest"))
-    return total.join(sizes, "pack_id").select("pack_id", "capacity_tokens", "n_containers", "n_tokens", "fullest", F.round(F.col("n_tokens") / F.col("n_containers") / F.col("capacity_tokens"), 4).alias("fill"))
+    least = F.ceil(F.col("n_tokens") / F.col("capacity_tokens"))
+    return total.join(sizes, "pack_id").select(
+        "pack_id", "capacity_tokens", "n_containers", least.alias("least_containers"), "n_tokens", "fullest", F.round(F.col("n_tokens") / F.col("n_containers") / F.col("capacity_tokens"), 4).alias("fill")
+    )
 
 
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
