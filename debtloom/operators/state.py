@@ -58,6 +58,11 @@ def within(date: Column, as_of: Column, days: int) -> Column:
     return F.lit(True) if days == 0 else date.isNull() | (date >= F.date_sub(as_of, days))
 
 
+def recent(date: Column, as_of: Column, days: int, configured: int) -> Column:
+    """As ``within``; zero days fall back to the configured window."""
+    return within(date, as_of, days or configured)
+
+
 def upsert(known: DataFrame, queued: DataFrame, key: str, refreshed: Sequence[str]) -> DataFrame:
     """Known rows with ``refreshed`` columns from the queue, their other columns kept; new rows as queued."""
     k, q = known.alias("k"), queued.alias("q")

@@ -68,8 +68,11 @@ def multi_format_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def abn_checksum_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Business numbers as matters and prospects have them, short, spaced or missing, and made ones, of which some hold."""
     made = F.lpad(((F.col("o_orderkey") * 104729) % 100000000000).cast("string"), 11, "0")
-    return table(spark, sf_dir, "orders").select("o_orderkey", made.alias("number"), abn_valid(made).alias("valid"), abn_print(made).alias("printed")).distinct()
+    given = [table(spark, sf_dir, t).select(F.lit(t).alias("of"), F.col(i).alias("id"), F.col("abn").alias("number")) for t, i in (("matter", "matter_row"), ("prospect", "prospect_id"))]
+    every = table(spark, sf_dir, "orders").select(F.lit("orders").alias("of"), F.col("o_orderkey").alias("id"), made.alias("number")).unionByName(given[0]).unionByName(given[1])
+    return every.select("of", "id", "number", abn_valid(F.col("number")).alias("valid"), abn_print(F.col("number")).alias("printed")).distinct()
 
 
 def score_only(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -270,9 +273,10 @@ FROM (SELECT matter_row, regexp_replace(acn, '[^0-9]', '', 'g') AS d, coalesce(r
         "multi_format_dates": f"""SELECT matter_row, CASE WHEN regexp_matches(a, '^\\d{{4}}-\\d{{1,2}}-\\d{{1,2}}') THEN try_cast(regexp_extract(a, '^\\d{{4}}-\\d{{1,2}}-\\d{{1,2}}') AS DATE)
   WHEN regexp_matches(a, '^\\d{{1,2}}[-/.]\\d{{1,2}}[-/.]\\d{{4}}') THEN try_strptime(replace(replace(a, '-', '/'), '.', '/'), '%d/%m/%Y')::DATE ELSE try_strptime(a, '%d %b %Y')::DATE END AS day
 FROM (SELECT matter_row, {squeeze} AS a FROM matter)""",
-        "abn_checksum_format": f"""SELECT DISTINCT o_orderkey, number, list_sum(list_transform(list_zip(d, {weights}), lambda z: z[1] * z[2])) % 89 = 10 % 89 AS valid,
-  regexp_replace(number, '^(..)(...)(...)(...)$', '\\1 \\2 \\3 \\4') AS printed
-FROM (SELECT o_orderkey, number, list_transform(string_split(number, ''), lambda x: CAST(x AS INTEGER)) AS d FROM (SELECT o_orderkey, lpad(CAST((o_orderkey * 104729) % 100000000000 AS VARCHAR), 11, '0') AS number FROM orders))""",
+        "abn_checksum_format": f"""WITH e AS (SELECT 'orders' AS "of", o_orderkey AS id, lpad(CAST((o_orderkey * 104729) % 100000000000 AS VARCHAR), 11, '0') AS number FROM orders UNION ALL SELECT 'matter', matter_row, abn FROM matter UNION ALL SELECT 'prospect', prospect_id, abn FROM prospect),
+d AS (SELECT *, regexp_replace(coalesce(number, ''), '[^0-9]', '', 'g') AS digits FROM e)
+SELECT DISTINCT "of", id, number, length(digits) = 11 AND (list_sum(list_transform(list_zip(list_transform(string_split(digits, ''), lambda x: CAST(nullif(x, '') AS INTEGER)), {weights}), lambda z: z[1] * z[2])) - 10) % 89 = 0 AS valid,
+  CASE WHEN length(digits) = 11 THEN regexp_replace(digits, '^(..)(...)(...)(...)$', '\\1 \\2 \\3 \\4') ELSE number END AS printed FROM d""",
         "score_only": """SELECT prospect_id, CAST(trunc(least(100.0, greatest(0.0, (matter_count - 1) * 25 + CASE WHEN exposure_known AND total_exposure_aud > 0 THEN log10(total_exposure_aud) * 10 ELSE 0 END))) AS INTEGER) AS points FROM prospect""",
         "non_trade_rules": f"SELECT * FROM (SELECT creditor_name, CASE {_RULE_SQL.format(*[c for _, c, _ in RULES])} END AS category, CASE {_RULE_SQL.format(*[r for *_, r in RULES])} END AS reason FROM (SELECT DISTINCT creditor_name FROM creditor)) WHERE category IS NOT NULL",
         "qualify_cascade": _CASCADE + "SELECT name_key, display_name, total_exposure_aud, score, disqualified_reason, disqualified_reason IS NULL AS qualified FROM judged",

@@ -26,10 +26,11 @@ def _day(c: str) -> Column:
 
 
 def _snapshot(spark: SparkSession, sf_dir: str, last: bool) -> DataFrame:
+    """The rows of the first or last delivery, one per matter; its number is one row, joined and not fetched."""
     s = table(spark, sf_dir, "matter_snapshot")
-    no = s.agg(F.max("snapshot_no") if last else F.min("snapshot_no")).first()[0]
+    no = s.agg((F.max if last else F.min)("snapshot_no").alias("snapshot_no"))
     text = F.concat_ws("|", *[F.coalesce(c, F.lit("")) for c in _STATE])
-    return first_by(s.where(F.col("snapshot_no") == no).select("matter_id", *_STATE, "loaded_at"), ["matter_id"], [F.col("loaded_at"), text])
+    return first_by(s.join(F.broadcast(no), "snapshot_no", "left_semi").select("matter_id", *_STATE, "loaded_at"), ["matter_id"], [F.col("loaded_at"), text])
 
 
 def ledger_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -177,8 +178,11 @@ def document_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def weekly_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether a run is due at each event's time, the last run being that of the same day after clicks, of the day before after errors, and none else."""
     e = table(spark, sf_dir, "events")
-    return e.select("event_id", local_gate(F.col("ts"), "Australia/Adelaide", 1, 10, F.lit(None).cast("date")).alias("due"))
+    day = F.to_date(F.from_utc_timestamp("ts", "Australia/Adelaide"))
+    last = F.when(F.col("event_type") == "click", day).when(F.col("event_type") == "error", F.date_sub(day, 1))
+    return e.select("event_id", local_gate(F.col("ts"), "Australia/Adelaide", 1, 10, last).alias("due"))
 
 
 def inbox_review(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -251,7 +255,7 @@ SELECT doc_id, line_no, creditor_name, address, r = 'yes' AS related_party, CAST
         "page_links": """SELECT matter_row, 0 AS pos, 'https://portal.invalid/docs/' || coalesce(source_id, 'none') || '.pdf' AS url FROM matter WHERE source_url IS NOT NULL
 UNION ALL SELECT matter_row, 1, CASE WHEN regexp_matches(source_url, '^https?://') THEN source_url WHEN starts_with(source_url, '/') THEN 'https://portal.invalid' || source_url ELSE 'https://portal.invalid/list/' || source_url END FROM matter WHERE source_url IS NOT NULL""",
         "document_rank": """SELECT * FROM (SELECT matter_id, doc_id, doc_type, CAST(row_number() OVER (PARTITION BY matter_id ORDER BY CASE doc_type WHEN 'report' THEN 1 WHEN 'circular' THEN 2 ELSE 3 END, doc_id) AS INTEGER) AS place FROM documents WHERE matter_id IS NOT NULL) WHERE place <= 2""",
-        "weekly_gate": """SELECT event_id, isodow(t) = 1 AND hour(t) >= 10 AS due FROM (SELECT event_id, timezone('Australia/Adelaide', timezone('UTC', ts)) AS t FROM events)""",
+        "weekly_gate": """SELECT event_id, isodow(t) = 1 AND hour(t) >= 10 AND event_type <> 'click' AS due FROM (SELECT event_id, event_type, timezone('Australia/Adelaide', timezone('UTC', ts)) AS t FROM events)""",
         "inbox_review": """SELECT matter_id, file FROM (SELECT DISTINCT 'inbox/' || m || '__list.pdf' AS file, m AS matter_id FROM (SELECT CASE WHEN matter_row % 5 = 0 THEN 'x' || matter_row ELSE matter_id END AS m FROM matter)) WHERE matter_id NOT IN (SELECT matter_id FROM matter WHERE matter_id IS NOT NULL)""",
         "debts_by_industry": f"""WITH m AS (SELECT matter_id, arg_min(industry, matter_row) AS industry FROM matter WHERE industry IS NOT NULL GROUP BY 1),
 s AS (SELECT coalesce(nullif(debtor_industry, ''), industry, 'none') AS of_industry, count(*) AS n, CAST(sum(CASE WHEN amount_known THEN CAST(amount_aud AS DECIMAL(18, 2)) END) AS DOUBLE) AS total FROM creditor LEFT JOIN m USING (matter_id) GROUP BY 1)

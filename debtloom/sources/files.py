@@ -90,6 +90,35 @@ def csv_table(spark: SparkSession, path: str, aliases: Mapping[str, str], requir
     return rows.select(*[F.col(raw.columns[i]).alias(f) for f, i in found.items()])
 
 
+#: Headings of columns that hold a company's name, and words of those that only seem to.
+NAME_HEADINGS = ("client name", "policy name", "company name", "insured", "insured name", "policy holder", "policyholder", "policy holder name", "name", "client")
+NO_NAMES = ("contact", "first", "surname", "email")
+
+
+def name_columns(heading: Sequence[str | None], known: Sequence[str] = NAME_HEADINGS, barred: Sequence[str] = NO_NAMES) -> list[int]:
+    """The columns that hold names: those headed exactly so, else those whose heading has such words and none that is barred."""
+    folded = [(h or "").strip().lower().replace("_", " ").lstrip("\ufeff") for h in heading]
+    exact = [i for i, h in enumerate(folded) if h in known]
+    return exact or [i for i, h in enumerate(folded) if any(k in h for k in known) and not any(b in h for b in barred)]
+
+
+def policy_names(spark: SparkSession, path: str, within: int = 5) -> DataFrame:
+    """``original``: the names in every name column of a policy list in CSV, whose heading is one of its first rows; blanks are left out."""
+    raw = spark.read.option("header", False).option("multiLine", True).option("encoding", "UTF-8").csv(path)
+    top = [tuple(r) for r in raw.limit(within).collect()]
+    for at, row in enumerate(top):
+        found = name_columns(list(row))
+        if found:
+            rows = raw
+            for above in top[: at + 1]:  # titles and the heading itself
+                same = F.lit(True)
+                for c, v in zip(raw.columns, above):
+                    same &= F.col(c).eqNullSafe(F.lit(v))
+                rows = rows.where(~same)
+            return rows.select(F.explode(F.array(*[F.trim(raw.columns[i]) for i in found])).alias("original")).where("length(original) > 0")
+    raise SchemaAlarm(f"no column of names in the first {within} rows")
+
+
 _NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main"}
 
 

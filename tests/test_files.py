@@ -31,6 +31,17 @@ def test_broken_records_are_not_lost(spark, tmp_path):
     assert json_rows(spark, str(tmp_path / "no.json"), schema, "broken").columns == ["a", "broken"]
 
 
+def test_name_columns_of_a_policy_list(spark, tmp_path):
+    from debtloom.sources.files import name_columns, policy_names
+
+    assert name_columns(["Policy_Name", "Contact name", "client name"]) == [0, 2] and name_columns(["Name of insured name", "Contact name", None]) == [0] and name_columns(["x"]) == []
+    (tmp_path / "p.csv").write_text("List of May,,\nPolicy Name,Client Name,Contact Name\nLarkspur,Finch,Ada\n , Mallow ,\n", encoding="utf-8")
+    assert sorted(r[0] for r in policy_names(spark, str(tmp_path / "p.csv")).collect()) == ["Finch", "Larkspur", "Mallow"]
+    (tmp_path / "q.csv").write_text("a,b\n1,2\n")
+    with pytest.raises(SchemaAlarm):
+        policy_names(spark, str(tmp_path / "q.csv"))
+
+
 def test_settings(tmp_path, monkeypatch):
     from debtloom.sources import config
 
