@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from debtloom.plans import desk_queries, drift_queries, listing_queries, roll_queries, snapshot_queries, state_queries
+from debtloom.plans import desk_queries, drift_queries, listing_queries, roll_queries, snapshot_queries, state_queries, stream_queries
 
-_MODULES = [roll_queries, state_queries, listing_queries, desk_queries, snapshot_queries, drift_queries]
+_MODULES = [roll_queries, state_queries, listing_queries, desk_queries, snapshot_queries, drift_queries, stream_queries]
 
 
 def flagship(spark, sf_dir):
