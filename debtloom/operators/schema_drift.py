@@ -4,14 +4,17 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator, Mapping, Sequence
+from typing import TYPE_CHECKING
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from debtloom.session import settle
 
+if TYPE_CHECKING:
+    import pandas as pd
+
 #: A removed and an added column whose score stays below are two changes, not a renaming.
 RENAME_SCORE = 0.45
 #: Rounds of flooding at most; it stops earlier once scores move by less than FLOOD_EPS.
@@ -242,6 +245,8 @@ def schema_changes(df: DataFrame, feed: str, file_key: str, file_order: Sequence
     pairs = pairs.join(apart, "__file", "left").select("__feed", "__file", "__before", "__now", "__apart")
 
     def changes(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import pandas as pd
+
         for part in parts:
             rows = [(r[0], r[1], *x) for r in part.itertuples(index=False, name=None) for x in compare_schemas(list(r[2]), list(r[3]), least, frozenset((p["a"], p["b"]) for p in (() if r[4] is None else r[4])))]
             yield pd.DataFrame(rows, columns=["feed", "file", "column_name", "change_kind", "earlier_name"])
@@ -280,6 +285,8 @@ def key_mapping(profiles: DataFrame, file_key: str, fields: Sequence[str], least
     vocabulary = vocabulary.join(beside, "fold", "left")
 
     def match(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import pandas as pd
+
         for part in parts:
             rows = []
             for c in part.to_dict("records"):
