@@ -127,6 +127,13 @@ class BatchIndex:
             fs.delete(where, True)
 
 
+    def close(self) -> None:
+        """Take the segments' names out of the catalogue; their files stay."""
+        for name in self.opened.values():
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        self.opened.clear()
+
+
 def name_keys(names: DataFrame, probing: bool) -> DataFrame:
     """One row per name, context of its head and band; and one for its own id, under which it is known."""
     few = F.when(F.col("c").startswith("T"), F.col("bands")).otherwise(F.slice("bands", 1, FEWER))
@@ -217,7 +224,8 @@ def known_notices(batches: DataFrame, index: BatchIndex | None = None, batches_a
     empty tables give no rows.
     """
     spark = batches.sparkSession
-    index = index or BatchIndex(spark, scratch_path(spark, "batch-index"))
+    own = index is None
+    index = BatchIndex(spark, scratch_path(spark, "batch-index")) if own else index
     rows = batches.where("arrival_id is not null and batch_no is not null")
     names = with_name_parts(rows.select("company_name").distinct(), "company_name", "company_name")
     canon = rows.join(names, rows["company_name"].eqNullSafe(names["company_name"]), "left").select(
@@ -237,10 +245,10 @@ def known_notices(batches: DataFrame, index: BatchIndex | None = None, batches_a
         near = _near_names(index, notices)
         none = F.array().cast("array<bigint>")
         probing = settle(notice_keys(notices.join(near, "nid", "left").withColumn("near", F.coalesce("near", none)), True), "round-keys")
-        own = notice_keys(notices.select("*", F.col("id").alias("first"), F.col("batch").alias("first_batch")), False)
+        mine = notice_keys(notices.select("*", F.col("id").alias("first"), F.col("batch").alias("first_batch")), False)
         earlier = F.struct("a.first_batch", "a.first") < F.struct("b.batch", "b.id")
         kept = lambda df, inside: df.where(same_appointment("a", "b") & earlier).select("b.id", "a.first", "a.first_batch", F.lit(inside).alias("inside")).distinct()
-        links = kept(probing.alias("b").hint("merge").join(own.alias("a"), F.col("a.key") == F.col("b.key")), True)
+        links = kept(probing.alias("b").hint("merge").join(mine.alias("a"), F.col("a.key") == F.col("b.key")), True)
         before = index.lookup("notices", probing)
         if before is not None:
             links = links.unionByName(kept(before, False))
@@ -248,6 +256,8 @@ def known_notices(batches: DataFrame, index: BatchIndex | None = None, batches_a
         index.append("notices", settle(notice_keys(notices.join(first, "id"), False), "notice-keys"))
         members = part.select("id", key.alias("g")).join(notices.select("g", F.col("id").alias("n")), "g").join(first.withColumnRenamed("id", "n"), "n").where("first != id")
         out.append(settle(members.select(F.col("first").alias("first_arrival_id"), F.col("id").alias("arrival_id")), "round-known"))
+    if own:
+        index.close()
     if not out:
         return spark.createDataFrame([], "first_arrival_id bigint, arrival_id bigint")
     return reduce(DataFrame.unionByName, out)
