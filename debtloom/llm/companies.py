@@ -50,7 +50,7 @@ def split_by_number(known: DataFrame) -> tuple[DataFrame, DataFrame]:
     used = numbered.groupBy("entity", "number").agg(F.sum("n").alias("n"))
     several = used.groupBy("entity").agg(F.count("*").alias("k")).where("k > 1").select("entity")
     owned = settle(numbered.join(number_classes(used.join(several, "entity", "left_semi")), ["entity", "number"]), "owned-numbers")
-    of_node, of_unit, of_entity = (_most(owned, key, "owner") for key in (["entity", "node"], ["entity", "u"], ["entity"]))
+    of_node, of_unit, of_entity = (settle(_most(owned, key, "owner"), "number-owner") for key in (["entity", "node"], ["entity", "u"], ["entity"]))
     torn = of_node.groupBy("entity").agg(F.count_distinct("owner").alias("k")).where("k > 1").select("entity")
     nodes = use.select("entity", "u", "node").distinct().join(torn, "entity", "left_semi")
     split = (

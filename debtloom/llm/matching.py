@@ -114,9 +114,12 @@ def match_entities(
     groups = settle(groups, "right-groups")
     members = groups.select("r", "g").distinct()
     leads = rnames.where("c is not null").select("r", "route", "c", "core", "head", "rest").join(members, "r").select("g", "route", "c", "core", "head", "rest").distinct()
-    by_name = leads.alias("x").join(faces.alias("y"), "c").select("g", "c", "route", weighted_dice("x", "y").alias("score"))
-    routes = by_name.unionByName(_by_number(l, members, ids)).groupBy("g", "c", "route").agg(F.max("score").alias("score"))
-    scored = calibrated(settle(_signed(routes, l, groups), "routes"), "score", "label", chance=_chance(l, groups))
+    # Each step is settled by itself: a plan of few exchanges at a time is kind to the driver.
+    by_name = settle(leads.alias("x").join(faces.alias("y"), "c").select("g", "c", "route", weighted_dice("x", "y").alias("score")), "by-name")
+    by_id = settle(_by_number(l, members, ids), "by-number")
+    lsigns, rsigns = settle(_usual(l, "c"), "left-signs"), settle(_usual(groups, "g"), "right-signs")
+    routes = by_name.unionByName(by_id).groupBy("g", "c", "route").agg(F.max("score").alias("score"))
+    scored = calibrated(settle(_signed(routes, lsigns, rsigns), "routes"), "score", "label", chance=_chance(lsigns, rsigns))
     found = scored.groupBy("g", "c").agg((1 - F.exp(F.sum(F.log(1 - F.least(F.col("confidence"), F.lit(0.9999)))))).alias("confidence")).where(F.col("confidence") >= least)
     out = l.select("l", "c").distinct().join(found, "c").join(members, "g")
     return out.groupBy(F.col("l").alias(left_id), F.col("r").alias(right_id)).agg(F.round(F.max("confidence"), 6).alias("confidence"))
@@ -139,13 +142,13 @@ def _usual(df: DataFrame, key: str) -> DataFrame:
     return df.where("length(sign) > 0").groupBy(key, "sign").agg(F.count("*").alias("n")).groupBy(key).agg(F.max_by("sign", F.struct("n", "sign")).alias("sign"))
 
 
-def _signed(routes: DataFrame, l: DataFrame, groups: DataFrame) -> DataFrame:
+def _signed(routes: DataFrame, lsigns: DataFrame, rsigns: DataFrame) -> DataFrame:
     """``routes`` with ``label``: whether the signs of both sides agree."""
-    a, b = _usual(l, "c").withColumnRenamed("sign", "lsign"), _usual(groups, "g").withColumnRenamed("sign", "rsign")
+    a, b = lsigns.withColumnRenamed("sign", "lsign"), rsigns.withColumnRenamed("sign", "rsign")
     return routes.join(a, "c", "left").join(b, "g", "left").select("g", "c", "route", "score", (F.col("lsign") == F.col("rsign")).alias("label"))
 
 
-def _chance(l: DataFrame, groups: DataFrame) -> float:
+def _chance(lsigns: DataFrame, rsigns: DataFrame) -> float:
     """How likely the signs of two entities agree that have nothing to do with each other."""
-    spread = lambda df, key, c: _usual(df, key).groupBy("sign").agg(F.count("*").alias("n")).select("sign", (F.col("n") / F.sum("n").over(Window.partitionBy())).alias(c))
-    return min(0.99, spread(l, "c", "p").join(spread(groups, "g", "q"), "sign").agg(F.coalesce(F.sum(F.col("p") * F.col("q")), F.lit(0.0))).first()[0])
+    spread = lambda df, c: df.groupBy("sign").agg(F.count("*").alias("n")).select("sign", (F.col("n") / F.sum("n").over(Window.partitionBy())).alias(c))
+    return min(0.99, spread(lsigns, "p").join(spread(rsigns, "q"), "sign").agg(F.coalesce(F.sum(F.col("p") * F.col("q")), F.lit(0.0))).first()[0])

@@ -118,7 +118,7 @@ def parsed_entities(columns: Sequence[tuple[DataFrame, str]], least: float = NAM
     pairs = pairs_of(nodes.where("core != ''").groupBy("u", "family", "core", "head").agg(F.bool_or("sought").alias("sought")))
     own = nodes.groupBy("u").agg(F.count("*").alias("k")).where("k > 1").select(F.col("u").alias("a"), F.col("u").alias("b"))
     total = F.lit(float(max(1, named.count())))
-    rarity = {f: nodes.groupBy("family", F.col(f)).agg(F.log(total / F.sum("n")).alias(f"w_{f}")) for f in ("core", "head", "rest")}
+    rarity = {f: settle(nodes.groupBy("family", F.col(f)).agg(F.log(total / F.sum("n")).alias(f"w_{f}")), "rarity") for f in ("core", "head", "rest")}
     weighed = nodes.join(nodes.groupBy("u").agg(F.sum("n").alias("m")), "u")
     for f, r in rarity.items():
         weighed = weighed.join(r, ["family", f], "left")
