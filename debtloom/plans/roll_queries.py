@@ -226,10 +226,14 @@ def notes_to_post(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def workbook_prospects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The prospect sheet: cells as they are written."""
+    """The prospect sheet: its sixteen columns as they are written, and which rows are highlighted."""
     p = table(spark, sf_dir, "prospect")
     debtors = F.array_join(F.transform("matters", lambda m: F.concat(F.coalesce(m["debtor_company"], F.lit("")), F.lit(" ("), F.when(m["amount_known"], money(m["amount_aud"])).otherwise("TBC"), F.lit(")"))), "; ")
-    return p.select("prospect_id", "display_name", F.when(F.col("exposure_known"), money(F.col("total_exposure_aud"))).otherwise("TBC").alias("exposure"), debtors.alias("debtors"), F.when(F.col("qualified"), "Yes").otherwise("No").alias("qualified"), F.array_join("debtor_industries", "; ").alias("industries"))
+    contact = ("abn", "state", "contact_name", "contact_title", "contact_email", "contact_phone", "contact_source", "pipedrive_org_name", "pipedrive_owner", "pipedrive_url")
+    return p.select(
+        "prospect_id", "display_name", "score", F.when(F.col("exposure_known"), money(F.col("total_exposure_aud"))).otherwise("TBC").alias("exposure"), "matter_count", debtors.alias("debtors"), F.when(F.col("qualified"), "Yes").otherwise("No").alias("qualified"),
+        F.array_join("debtor_industries", ", ").alias("industries"), *contact, (F.col("matter_count") > 1).alias("highlighted"), F.col("pipedrive_org_id").isNotNull().alias("in_crm"),
+    )
 
 
 def run_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -306,9 +310,10 @@ SELECT key, r[1] AS org_id, r[2] AS original FROM keys JOIN first USING (key)"""
         "crm_owner": "SELECT org_id, coalesce(org_owner.label, CAST(org_owner.id AS VARCHAR)) AS owner FROM crm_org",
         "notes_to_post": f"""SELECT prospect_id, pipedrive_org_id AS org_id, 'Owed by ' || matter_count || ' debtors' || chr(10) || array_to_string(list_transform(matters,
   lambda m: '- ' || coalesce(m.debtor_company, '') || CASE WHEN m.amount_known THEN ' (' || {_MONEY.format('m.amount_aud')} || ')' ELSE ' (TBC)' END), chr(10)) AS note FROM prospect WHERE pipedrive_org_id IS NOT NULL""",
-        "workbook_prospects": f"""SELECT prospect_id, display_name, CASE WHEN exposure_known THEN {_MONEY.format('total_exposure_aud')} ELSE 'TBC' END AS exposure,
+        "workbook_prospects": f"""SELECT prospect_id, display_name, score, matter_count, abn, state, contact_name, contact_title, contact_email, contact_phone, contact_source, pipedrive_org_name, pipedrive_owner, pipedrive_url,
+  matter_count > 1 AS highlighted, pipedrive_org_id IS NOT NULL AS in_crm, CASE WHEN exposure_known THEN {_MONEY.format('total_exposure_aud')} ELSE 'TBC' END AS exposure,
   array_to_string(list_transform(matters, lambda m: coalesce(m.debtor_company, '') || ' (' || CASE WHEN m.amount_known THEN {_MONEY.format('m.amount_aud')} ELSE 'TBC' END || ')'), '; ') AS debtors,
-  CASE WHEN qualified THEN 'Yes' ELSE 'No' END AS qualified, array_to_string(debtor_industries, '; ') AS industries FROM prospect""",
+  CASE WHEN qualified THEN 'Yes' ELSE 'No' END AS qualified, array_to_string(debtor_industries, ', ') AS industries FROM prospect""",
         "run_kpis": """SELECT count(*) AS tracked, count(*) FILTER (qualified) AS n_qualified, count(*) FILTER (matter_count > 1) AS n_repeat, count(*) FILTER (pipedrive_org_id IS NOT NULL) AS n_in_crm,
   count(*) FILTER (NOT qualified) AS n_excluded FROM prospect""",
         "written_names": """SELECT prospect_id, replace(replace(replace(replace(replace(display_name, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), '''', '&#39;') AS escaped,
