@@ -99,6 +99,25 @@ def feed_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.select("kind", "n", F.round(F.col("n") / F.sum("n").over(Window.partitionBy()), 6).alias("share"))
 
 
+def feed_industries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The eight most frequent industries of the feeds; fillers are none."""
+    of = F.lower(present(F.col("industry")))
+    counts = table(spark, sf_dir, "matter").select(of.alias("of_industry")).where("of_industry is not null").groupBy("of_industry").agg(F.count("*").alias("n"))
+    return counts.orderBy(F.desc("n"), "of_industry").limit(8)
+
+
+def feed_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first and last day of each feed, and the rows without one."""
+    day = _day("first_seen")
+    return table(spark, sf_dir, "matter").groupBy("source").agg(F.min(day).alias("oldest"), F.max(day).alias("newest"), F.count_if(day.isNull()).alias("undated"))
+
+
+def ledger_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many matters the last delivery found, how many of them are new, and how many are tracked in all."""
+    m = ledger_merge(spark, sf_dir)
+    return m.agg(F.count_if(F.col("last_seen").isNotNull()).alias("found"), F.count_if("is_new").alias("new"), F.count("*").alias("tracked"))
+
+
 def month_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     months = table(spark, sf_dir, "matter").select(F.date_format(_day("first_seen"), "yyyy-MM").alias("month")).where("month is not null").groupBy("month").agg(F.count("*").alias("n"))
     return months.orderBy(F.desc("month")).limit(8)
@@ -202,10 +221,17 @@ def debts_by_industry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top.select("of_industry", "n", "total", F.coalesce(money(F.col("total")), F.lit("TBC")).alias("shown"))
 
 
+def debts_by_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Debts with the state of their matter where they have none."""
+    m = first_by(table(spark, sf_dir, "matter").where("length(trim(state)) > 0").select("matter_id", "matter_row", "state"), ["matter_id"], [F.col("matter_row")])
+    c = table(spark, sf_dir, "creditor").select("matter_id", "debtor_state").join(m.select("matter_id", "state"), "matter_id", "left")
+    return c.groupBy(F.coalesce(F.nullif("debtor_state", F.lit("")), F.trim("state"), F.lit("none")).alias("of_state")).agg(F.count("*").alias("n"))
+
+
 def queries() -> dict:
     fs = (
-        ledger_merge, replace_by_matter, open_matters, purchase_queue, check_order_capped, queue_upsert_prune, feed_window, feed_profile, month_histogram, lookback_sweep, notice_filter, union_feeds, first_wins,
-        matter_ids, status_counts, listing_rows, panel_details, page_links, document_rank, weekly_gate, inbox_review, debts_by_industry,
+        ledger_merge, replace_by_matter, open_matters, purchase_queue, check_order_capped, queue_upsert_prune, feed_window, feed_profile, feed_industries, feed_range, ledger_counts, month_histogram, lookback_sweep, notice_filter, union_feeds, first_wins,
+        matter_ids, status_counts, listing_rows, panel_details, page_links, document_rank, weekly_gate, inbox_review, debts_by_industry, debts_by_state,
     )
     return {f.__name__: f for f in fs}
 
@@ -238,6 +264,10 @@ FROM k FULL OUTER JOIN q ON k.matter_id = q.matter_id WHERE q.matter_id IS NOT N
         "feed_window": f"""SELECT source, CASE WHEN coalesce(trim(company_name), '') = '' THEN 'blank' WHEN contains(lower(coalesce(appointment_type, '')), 'restructuring') THEN 'solvent' WHEN NOT {in_days(365)} THEN 'old' ELSE 'kept' END AS outcome,
   count(*) AS n, max({day('first_seen')}) AS newest FROM matter GROUP BY 1, 2""",
         "feed_profile": f"SELECT kind, n, round(n / sum(n) OVER (), 6) AS share FROM (SELECT coalesce(nullif(lower(trim(regexp_replace(appointment_type, {spaces}, ' ', 'g'))), ''), 'none') AS kind, count(*) AS n FROM matter GROUP BY 1)",
+        "feed_industries": f"SELECT of_industry, count(*) AS n FROM (SELECT lower(i) AS of_industry FROM (SELECT {said('industry').replace(' AS industry', ' AS i')} FROM matter)) WHERE of_industry IS NOT NULL GROUP BY 1 ORDER BY n DESC, of_industry LIMIT 8",
+        "feed_range": f"SELECT source, min({day('first_seen')}) AS oldest, max({day('first_seen')}) AS newest, count(*) FILTER ({day('first_seen')} IS NULL) AS undated FROM matter GROUP BY 1",
+        "ledger_counts": f"WITH k AS ({_ledger_sql('min')}), f AS ({_ledger_sql('max')}) SELECT count(f.matter_id) AS found, count(*) FILTER (k.matter_id IS NULL) AS new, count(*) AS tracked FROM k FULL OUTER JOIN f ON k.matter_id = f.matter_id",
+        "debts_by_state": "WITH m AS (SELECT matter_id, arg_min(state, matter_row) AS state FROM matter WHERE length(trim(state)) > 0 GROUP BY 1) SELECT coalesce(nullif(debtor_state, ''), trim(state), 'none') AS of_state, count(*) AS n FROM creditor LEFT JOIN m USING (matter_id) GROUP BY 1",
         "month_histogram": f"SELECT strftime({day('first_seen')}, '%Y-%m') AS month, count(*) AS n FROM matter WHERE {day('first_seen')} IS NOT NULL GROUP BY 1 ORDER BY 1 DESC LIMIT 8",
         "lookback_sweep": " UNION ALL ".join(f"SELECT {w} AS days, count(*) FILTER ({in_days(w)}) AS n, count(*) FILTER ({in_days(w)} AND {liq}) AS n_liquidations FROM matter" for w in (14, 30, 60, 90, 180)),
         "notice_filter": """WITH k AS (SELECT trim(lower(coalesce(appointment_type, ''))) AS notice, count(*) AS n FROM matter GROUP BY 1)
