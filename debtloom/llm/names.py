@@ -84,6 +84,8 @@ class Vocabulary:
     def __init__(self, words: Mapping[str, tuple[str, str]]):
         self.words = dict(words)
         self.full = {w: k for w, k in self.words.items() if len(w) >= 4 and w == k[1]}
+        #: No word of the vocabulary is longer, so longer tokens need not be looked at letter by letter.
+        self.longest = max(map(len, self.words), default=0)
         self.neighbours: dict[str, list[str]] = {}
         for w in self.full:
             for d in _deletions(w, 1 if len(w) < 7 else 2):
@@ -97,7 +99,7 @@ class Vocabulary:
         found = self.words.get(token)
         if found:
             return *found, 0
-        if len(token) < 3:
+        if not 3 <= len(token) <= self.longest + 2:
             return None
         if len(token) >= 4:
             # Cut off at the end of a field.
@@ -113,11 +115,11 @@ class Vocabulary:
     def _parts_of(self, token: str) -> tuple[str, ...]:
         """A run-together token parted at a known word at its end or beginning."""
         if len(token) >= 8 and not self.known_word(token):
-            for cut in range(3, len(token) - 3):
+            for cut in range(max(3, len(token) - max(self.longest, 9)), len(token) - 3):
                 tail = token[cut:]
                 if (tail in self.full and self.full[tail][0] != "given") or tail in ("sons", "bros", "daughters", "brothers"):
                     return *self.parts_of(token[:cut]), tail
-            for cut in range(len(token) - 3, 4, -1):
+            for cut in range(min(len(token) - 3, self.longest), 4, -1):
                 if token[:cut] in self.full and self.full[token[:cut]][0] in ("trade", "role"):
                     return token[:cut], *self.parts_of(token[cut:])
         return (token,)
@@ -225,7 +227,7 @@ def _parse_with(name: str | None, vocabulary: Vocabulary) -> Name:
     text = "".join(w for w, _ in core)
     if not trades and not initials and not bodies and len(text) > 7:
         # Run together with a short or misspelt trade word.
-        for cut in range(4, len(text) - 2):
+        for cut in range(max(4, len(text) - vocabulary.longest - 2), len(text) - 2):
             k = known_word(text[cut:])
             if k and k[0] == "trade" and (not k[2] or len(text) - cut >= 6):
                 text, trades = re.sub(r"(?<=\w{4})(?:bros|sons|brothers|daughters)$", "", text[:cut]), [k[1]]

@@ -54,6 +54,15 @@ def test_names(text, want):
     assert tuple(parse_name(text)) == want
 
 
+def test_names_of_any_length_are_parsed():
+    import time
+
+    began = time.process_time()
+    for text in ("x" * 100_000, "ab " * 20_000, "(a" * 20_000, "a&b, " * 10_000, "timber" * 10_000):
+        assert parse_name(text) is not None
+    assert time.process_time() - began < 20
+
+
 NAMES = ["Larkspur Timber Works Pty Ltd", "Larkspru Tmbr. Works P/L", "Larkspur Timber", "Larkspur Steel Pty Ltd", "Larkspur T.W. Pty Ltd", "Deborah Anne Mallow", "Mallow, Deb Anne", "Deborah Joy Mallow", "D. Mallow", "", None, " "]
 
 
