@@ -113,16 +113,26 @@ class Vocabulary:
         return None
 
     def _parts_of(self, token: str) -> tuple[str, ...]:
-        """A run-together token parted at a known word at its end or beginning."""
-        if len(token) >= 8 and not self.known_word(token):
-            for cut in range(max(3, len(token) - max(self.longest, 9)), len(token) - 3):
-                tail = token[cut:]
-                if (tail in self.full and self.full[tail][0] != "given") or tail in ("sons", "bros", "daughters", "brothers"):
-                    return *self.parts_of(token[:cut]), tail
-            for cut in range(min(len(token) - 3, self.longest), 4, -1):
-                if token[:cut] in self.full and self.full[token[:cut]][0] in ("trade", "role"):
-                    return token[:cut], *self.parts_of(token[cut:])
-        return (token,)
+        """A run-together token parted at known words at its end or beginning."""
+        heads: list[str] = []
+        tails: list[str] = []
+        while len(token) >= 8 and not self.known_word(token):
+            ends = (cut for cut in range(max(3, len(token) - max(self.longest, 9)), len(token) - 3) if self._is_tail(token[cut:]))
+            cut = next(ends, None)
+            if cut is not None:
+                tails.append(token[cut:])
+                token = token[:cut]
+                continue
+            begins = (cut for cut in range(min(len(token) - 3, self.longest), 4, -1) if self.full.get(token[:cut], ("",))[0] in ("trade", "role"))
+            cut = next(begins, None)
+            if cut is None:
+                break
+            heads.append(token[:cut])
+            token = token[cut:]
+        return *heads, token, *reversed(tails)
+
+    def _is_tail(self, word: str) -> bool:
+        return self.full.get(word, ("given",))[0] != "given" or word in ("sons", "bros", "daughters", "brothers")
 
     def _parse(self, name: str | None) -> Name:
         return _parse_with(name, self)

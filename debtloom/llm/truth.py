@@ -172,7 +172,7 @@ def source_quality(claimed: DataFrame, group: str, changing: Sequence[str] = (),
     told = settle(told, "telling-claims")
     quality = None
     while True:
-        p = probabilities(told, group, quality, changing, many).drop("last_day")
+        p = settle(probabilities(told, group, quality, changing, many).drop("last_day"), "round-probabilities")
         judged = told.join(p, [group, "field", "value"])
         came = F.min(F.when(F.col("p") >= 0.5, F.col("day"))).over(Window.partitionBy(group, "field"))
         judged = judged.withColumn("came", came).where(~F.col("field").isin(*changing) | F.col("came").isNull() | (F.col("day") >= F.col("came")))
@@ -184,6 +184,7 @@ def source_quality(claimed: DataFrame, group: str, changing: Sequence[str] = (),
         sums = per.join(held, [group, "field"]).groupBy("field", "source").agg(F.sum("tp").alias("tp"), F.sum("fp").alias("fp"), F.sum(times * F.col("true")).alias("true"), F.sum(times * F.col("false")).alias("false"))
         bounded = lambda c: F.least(F.greatest(c, F.lit(BOUNDS[0])), F.lit(BOUNDS[1]))
         now = settle(sums.select("field", "source", bounded((F.col("tp") + 4) / (F.col("true") + 5)).alias("sensitivity"), bounded(1 - (F.col("fp") + 1) / (F.col("false") + 10)).alias("specificity")), "source-quality")
+        forget(p)
         if quality is not None:
             old = quality.toDF("field", "source", "s", "c")
             moved = now.join(old, ["field", "source"]).agg(F.max(F.greatest(F.abs(F.col("sensitivity") - F.col("s")), F.abs(F.col("specificity") - F.col("c"))))).first()[0]
