@@ -19,42 +19,72 @@ def key_list(df: DataFrame, names: list[str], order: list[str]) -> DataFrame:
     return first.select("key", "original", F.struct("row", "col").alias("pos"))
 
 
-def _pieces(length: Column, cutoff: float) -> Column:
-    """Into how many pieces a text of a length is cut, so that one survives all edits that the cutoff allows."""
+def _most_edits(n: Column, m: Column, cutoff: float) -> Column:
+    """The most insertions and deletions between texts of two lengths that the cutoff allows: their number is as odd or even as the lengths' sum."""
+    most = F.floor((1 - cutoff / 100) * (n + m) + 1e-6).cast("int")
+    return most - (most + n + m) % 2
+
+
+def _lengths(n: Column, cutoff: float) -> Column:
+    """The lengths of the texts that can be near one of length ``n``."""
     lost = 1 - cutoff / 100
-    return F.floor(2 * lost / (1 - lost) * length).cast("int") + 1
+    each = F.sequence(F.greatest(F.lit(1), F.floor(n * (1 - lost) / (1 + lost)).cast("int")), F.ceil(n * (1 + lost) / (1 - lost)).cast("int"))
+    return F.filter(each, lambda m: _most_edits(n, m, cutoff) >= F.abs(n - m))
+
+
+def _piece(text: Column, n: Column, d: Column, i: Column, shift: Column) -> Column:
+    """The hash of what stands in ``text``, moved by ``shift``, at the place of piece ``i`` of a text of length ``n`` cut into ``d + 1``; null outside of it."""
+    start, end = F.floor(i * n / (d + 1)).cast("int"), F.floor((i + 1) * n / (d + 1)).cast("int")
+    return F.when((start + shift >= 0) & (end + shift <= F.length(text)), F.xxhash64(n, d, i, F.substring(text, start + shift + 1, end - start)))
+
+
+def _letter_bits(text: Column) -> Column:
+    """The letters of a text as bits, one for the first and one for the second of each, beside a third of the ten most frequent: an edit changes one bit at most."""
+    out, at = F.lit(0).cast("bigint"), 0
+    for c in "abcdefghijklmnopqrstuvwxyz":
+        width = 3 if c in "aeilnorstd" else 2
+        seen = F.least(F.length(text) - F.length(F.replace(text, F.lit(c), F.lit(""))), F.lit(width))
+        out = out.bitwiseOR(F.call_function("shiftleft", F.call_function("shiftleft", F.lit(1).cast("bigint"), seen) - 1, F.lit(at)))
+        at += width
+    return out
+
+
+def _posted(texts: DataFrame, cutoff: float) -> DataFrame:
+    """``texts`` (``t``) with ``n``, ``bits`` and a row for each piece ``h``, cut for each number of edits that can be."""
+    n = F.col("n")
+    each = texts.withColumn("n", F.length("t")).withColumn("bits", _letter_bits(F.col("t")))
+    each = each.withColumn("d", F.explode(F.array_distinct(F.transform(_lengths(n, cutoff), lambda m: _most_edits(n, m, cutoff)))))
+    return each.withColumn("h", F.explode(F.transform(F.sequence(F.lit(0), F.col("d")), lambda i: _piece(F.col("t"), n, F.col("d"), i, F.lit(0))))).drop("d")
+
+
+def _looked_up(texts: DataFrame, cutoff: float) -> DataFrame:
+    """``texts`` (``s``) with ``m``, ``bits`` and a row for each piece ``h`` that a near text can have in common."""
+    m, n, d = F.col("m"), F.col("n"), F.col("d")
+    each = texts.withColumn("m", F.length("s")).withColumn("bits", _letter_bits(F.col("s"))).withColumn("n", F.explode(_lengths(m, cutoff))).withColumn("d", _most_edits(n, m, cutoff))
+    gone, come = ((d + n - m) / 2).cast("int"), ((d - n + m) / 2).cast("int")
+    places = F.transform(F.sequence(F.lit(0), d), lambda i: F.transform(F.sequence(F.greatest(F.lit(0), i - come), F.least(i, gone)), lambda lost: _piece(F.col("s"), n, d, i, i - 2 * lost)))
+    return each.withColumn("h", F.explode(F.array_distinct(F.flatten(places)))).where("h is not null").drop("n", "d")
 
 
 def near_keys(left: DataFrame, right: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
     """``key, candidate, score``: all keys of both lists whose token-sorted ratio is at least ``cutoff``, without comparing all pairs.
 
-    The ratio bounds the insertions and deletions between two texts by a share of their lengths. A text cut into one piece more than
-    that leaves a piece untouched, moved by no more places; so pieces of ``right`` are looked up among the substrings of ``left`` of the right
-    place and length. What shares a piece is scored in full.
+    The ratio bounds the insertions and deletions ``d`` between two texts by a share of their lengths. A text of ``left`` is cut into ``d + 1`` pieces. The
+    first piece up to which there are no more edits than pieces before it is untouched, and has just one edit for each of those before it; so piece ``i`` is
+    looked up in ``right`` where ``i`` edits can have moved it and the rest suffice behind it, a few places for each length. What shares a piece is
+    compared by its letters as bits first, then by edits; what is left is scored in full.
     """
-    lost = 1 - cutoff / 100
-    a = left.select("key").distinct().select("key", token_sort(F.col("key")).alias("t")).where("length(t) > 0").withColumn("n", F.length("t"))
-    b = right.select(F.col("key").alias("candidate")).distinct().select("candidate", token_sort(F.col("candidate")).alias("s")).where("length(s) > 0").withColumn("m", F.length("s"))
-
-    def start(i: Column, m: Column, k: Column) -> Column:
-        return F.floor(i * m / k).cast("int")
-
-    k = _pieces(F.col("m"), cutoff)
-    posted = b.select("candidate", "s", F.explode(F.transform(F.sequence(F.lit(0), k - 1), lambda i: F.xxhash64(F.col("m"), i, F.substring(F.col("s"), start(i, F.col("m"), k) + 1, start(i + 1, F.col("m"), k) - start(i, F.col("m"), k))))).alias("h"))
-    shortest, longest = F.ceil(F.col("n") * (1 - lost) / (1 + lost)).cast("int"), F.floor(F.col("n") * (1 + lost) / (1 - lost)).cast("int")
-
-    def of_piece(m: Column, i: Column) -> Column:
-        kk = _pieces(m, cutoff)
-        width = start(i + 1, m, kk) - start(i, m, kk)
-        low = F.greatest(F.lit(0), start(i, m, kk) - kk + 1)
-        high = F.least(F.col("n") - width, start(i, m, kk) + kk - 1)
-        return F.when(high >= low, F.transform(F.sequence(low, F.greatest(low, high)), lambda p: F.xxhash64(m, i, F.substring(F.col("t"), p + 1, width)))).otherwise(F.array().cast("array<bigint>"))
-
-    hashes = F.flatten(F.transform(F.sequence(F.greatest(F.lit(1), shortest), F.greatest(F.lit(1), longest)), lambda m: F.flatten(F.transform(F.sequence(F.lit(0), _pieces(m, cutoff) - 1), lambda i: of_piece(m, i)))))
-    sought = a.select("key", "t", F.explode(F.array_distinct(hashes)).alias("h"))
-    # No text is nearer by substitutions too than the bound on insertions and deletions.
-    bound = F.levenshtein(F.col("t"), F.col("s")) <= lost * (F.length("t") + F.length("s")) + 1e-9
-    pairs = sought.join(posted, "h").where(bound).select("key", "candidate").distinct()
+    a = left.select("key").distinct().select("key", token_sort(F.col("key")).alias("t")).where("length(t) > 0")
+    b = right.select(F.col("key").alias("candidate")).distinct().select("candidate", token_sort(F.col("candidate")).alias("s")).where("length(s) > 0")
+    x, y = _posted(a, cutoff).alias("x"), _looked_up(b, cutoff).alias("y")
+    n, m, p, q = F.col("x.n"), F.col("y.m"), F.col("x.bits"), F.col("y.bits")
+    d = _most_edits(n, m, cutoff)
+    # No letters are missing on a side but for the edits, and no text is nearer by substitutions too than the bound on insertions and deletions.
+    letters = (2 * F.bit_count(p.bitwiseAND(F.bitwise_not(q))) <= d + n - m) & (2 * F.bit_count(q.bitwiseAND(F.bitwise_not(p))) <= d - n + m)
+    # In one condition, which is taken from left to right; a filter behind the join would come first.
+    close = (F.col("x.h") == F.col("y.h")) & letters & (F.call_function("levenshtein", F.col("t"), F.col("s"), d) >= 0)
+    # What is exploded is never broadcast: its size isn't known beforehand.
+    pairs = x.join(y.hint("merge"), close).select("key", "candidate").distinct()
     return pairs.withColumn("score", F.when(F.col("key") == F.col("candidate"), 100.0).otherwise(token_sort_ratio(F.col("key"), F.col("candidate")))).where(F.col("score") >= cutoff)
 
 

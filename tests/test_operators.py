@@ -5,7 +5,7 @@ from debtloom.functions.listing import cell_rows, is_listing, line_rows, listing
 from debtloom.functions.markup import asks_to_log_in, document_links, file_links, form_rows, headed_rows
 from debtloom.operators.desk import filled, first_only, stale_feeds, unnoted
 from debtloom.functions.markup import business_number, label_values, link_targets, table_rows
-from debtloom.operators.name_match import key_list, longer_key, match_names, near_keys, org_identifiers, org_names
+from debtloom.operators.name_match import _looked_up, _posted, key_list, longer_key, match_names, near_keys, org_identifiers, org_names
 from debtloom.operators.rollup import admissible, below_floor, cascade, ranked, roll_up, scored
 from debtloom.operators.state import first_by, merge_state, open_rows, prune, replace_by_key, upsert
 
@@ -61,6 +61,31 @@ def test_near_keys_against_brute_force(spark):
     assert near_keys(frame([]), frame(right)).count() == 0
 
 
+def test_near_keys_at_the_cutoff_with_few_lookups(spark):
+    import random
+
+    random.seed(5)
+    frame = lambda xs: spark.createDataFrame([(x,) for x in xs], "key string")
+    # 23 and 27 letters, 46 of 50 in common: 92 exactly.
+    edge = [("draixaren cleaning supplies", "draixaren clng supplies"), ("joinery paimuworth brothers", "paimuworth bros joinery"), ("whegglait plmb services", "whegglait plumbing services")]
+    for a, b in edge:
+        assert [(r.key, r.candidate, r.score) for r in near_keys(frame([a]), frame([b])).collect()] == [(a, b, 92.0)]
+    texts = sorted({"".join(random.choice("abc ") for _ in range(random.randrange(1, 34))).strip() for _ in range(40)} | {"a", "ab", "7 a", "é b"} - {""})
+    def typo(t):
+        for _ in range(random.randrange(5)):
+            i = random.randrange(len(t) + 1)
+            t = random.choice([t[:i] + t[i + 1 :], t[:i] + random.choice("abc 7é") + t[i:]]) or "a"
+        return t
+
+    others = sorted({typo(t) for t in texts for _ in range(4)})
+    sort = lambda t: " ".join(sorted(w for w in t.split(" ") if w))
+    score = lambda x, y: 200 * lcs(x, y) / (len(x) + len(y))
+    want = {(a, b) for a in texts for b in others if sort(a) and sort(b) and score(sort(a), sort(b)) >= 92}
+    assert {(r.key, r.candidate) for r in near_keys(frame(texts), frame(others)).collect()} == want and len(want) > 50
+    long = "joinery paimuworth brothers"
+    assert _posted(frame([long]).select(F.col("key").alias("t")), 92).count() < 12 and _looked_up(frame([long]).select(F.col("key").alias("s")), 92).count() < 80
+
+
 def test_cascade_of_names(spark):
     policies = spark.createDataFrame([("1", "Larkspur Timber Pty Ltd", "Finch Foods"), ("2", "Mallow Steel Trading North", None), ("3", "larkspur timber", "Sorrel Glass One"), ("4", "Sorrel Glass Two", None)], "no string, a string, b string")
     listed = key_list(policies, ["a", "b"], ["no"])
