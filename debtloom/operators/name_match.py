@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from debtloom.functions.text import distinctive, identifier, name_key, token_sort, token_sort_ratio
 from debtloom.operators.state import first_by
+from debtloom.session import settle
 
 CUTOFF = 92
 
@@ -99,12 +100,14 @@ def longer_key(left: DataFrame, right: DataFrame) -> DataFrame:
 
 def match_names(left: DataFrame, right: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
     """``key, original, rung``: each key of ``left`` with the list's spelling by the first rung that gives one: exact, near (best score, then list order), longer."""
-    exact = left.select("key").distinct().join(right, "key").select("key", F.col("original").alias("exact"))
-    rest = left.select("key").distinct().where("length(key) > 0").join(exact.select("key"), "key", "left_anti")
+    # Both are read once for each rung.
+    left, right = settle(left.select("key").distinct(), "name-keys"), settle(right.select("key", "original", "pos"), "name-list")
+    exact = left.join(right, "key").select("key", F.col("original").alias("exact"))
+    rest = left.where("length(key) > 0").join(exact.select("key"), "key", "left_anti")
     listed = right.select(F.col("key").alias("candidate"), "original", "pos")
     near = near_keys(rest, right, cutoff).join(listed, "candidate").groupBy("key").agg(F.min_by("original", F.struct((-F.col("score")).alias("s"), "pos")).alias("near"))
     longer = longer_key(rest, right).join(listed, "candidate").select("key", F.col("original").alias("longer"))
-    found = left.select("key").distinct().join(exact, "key", "left").join(near, "key", "left").join(longer, "key", "left")
+    found = left.join(exact, "key", "left").join(near, "key", "left").join(longer, "key", "left")
     return found.select("key", F.coalesce("exact", "near", "longer").alias("original"), F.when(F.col("exact").isNotNull(), "exact").when(F.col("near").isNotNull(), "near").when(F.col("longer").isNotNull(), "longer").alias("rung")).where("original is not null")
 
 

@@ -95,6 +95,13 @@ def test_cascade_of_names(spark):
     assert {r.key for r in longer_key(keys, listed).collect()} == {"mallow steel"}
 
 
+def test_names_are_read_once_for_all_rungs(spark, tmp_path):
+    spark.createDataFrame([("larkspur timber",), ("finch foodss",)], "key string").write.parquet(f"{tmp_path}/keys")
+    listed = key_list(spark.createDataFrame([("1", "Larkspur Timber", "Finch Foods")], "no string, a string, b string"), ["a", "b"], ["no"])
+    found = match_names(spark.read.parquet(f"{tmp_path}/keys"), listed)
+    assert not [f for f in found.inputFiles() if str(tmp_path) in f] and {r.rung for r in found.collect()} == {"exact", "near"}
+
+
 def test_organisations(spark):
     orgs = spark.createDataFrame([(1, "Larkspur Pty Ltd", ["12 345 678 901", "a@b.invalid", "Finch Foods"]), (2, "Finch Foods", None)], "org_id bigint, org_name string, custom_fields array<string>")
     assert [tuple(r) for r in org_identifiers(orgs).collect()] == [(1, "345678901")]
