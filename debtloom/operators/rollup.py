@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from debtloom.functions.people import is_person
 from debtloom.functions.text import exposure_score, money, name_key
 from debtloom.operators.name_match import match_names
+from debtloom.session import settle
 
 MATTER_FIELDS = ("matter_id", "debtor_company", "amount_aud", "amount_known", "source", "source_document", "debtor_industry", "debtor_state")
 
@@ -73,6 +74,8 @@ def qualify(prospects: DataFrame, floor: float, rules: Sequence[tuple[str, str,
     _, reason = first_rule(name, rules)
     steps = [below_floor(floor), (reason.isNotNull(), reason), (is_person(name), F.lit("Individual"))]
     if clients is not None:
+        # Read by the match and by the join with it.
+        prospects = settle(prospects, "prospects")
         matched = match_names(prospects.select(F.col("name_key").alias("key")), clients).select(F.col("key").alias("name_key"), F.col("original").alias("client"))
         prospects = prospects.join(matched, "name_key", "left")
         steps.append((F.col("client").isNotNull(), F.concat(F.lit("Client: "), F.col("client"))))

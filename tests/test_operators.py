@@ -6,7 +6,7 @@ from debtloom.functions.markup import asks_to_log_in, document_links, file_links
 from debtloom.operators.desk import filled, first_only, stale_feeds, unnoted
 from debtloom.functions.markup import business_number, label_values, link_targets, table_rows
 from debtloom.operators.name_match import _looked_up, _posted, key_list, longer_key, match_names, near_keys, org_identifiers, org_names
-from debtloom.operators.rollup import admissible, below_floor, cascade, ranked, roll_up, scored
+from debtloom.operators.rollup import admissible, below_floor, cascade, qualify, ranked, roll_up, scored
 from debtloom.operators.state import first_by, merge_state, open_rows, prune, replace_by_key, upsert
 
 
@@ -102,6 +102,15 @@ def test_names_are_read_once_for_all_rungs(spark, tmp_path):
     assert not [f for f in found.inputFiles() if str(tmp_path) in f] and {r.rung for r in found.collect()} == {"exact", "near"}
 
 
+def test_debts_are_rolled_up_once_for_the_cascade(spark, tmp_path):
+    rows = [(1, "Larkspur Timber Pty Ltd", "m1", 9000.0, True, False, "x"), (2, "Finch Foodss", "m1", 9000.0, True, False, "x"), (3, "Mallow Steel", "m2", 10.0, True, False, "x"), (4, "Yarrow Hire", "m2", 9000.0, True, False, "x")]
+    spark.createDataFrame(rows, "id bigint, creditor_name string, matter_id string, amount_aud double, amount_known boolean, related_party boolean, debtor_industry string").write.parquet(f"{tmp_path}/debts")
+    listed = key_list(spark.createDataFrame([("1", "Larkspur Timber", "Finch Foods")], "no string, a string, b string"), ["a", "b"], ["no"])
+    out = qualify(scored(roll_up(admissible(spark.read.parquet(f"{tmp_path}/debts")), "id")), 5000.0, (), listed)
+    assert not [f for f in out.inputFiles() if str(tmp_path) in f]
+    assert {r.name_key: r.disqualified_reason for r in out.collect()} == {"larkspur timber": "Client: Larkspur Timber", "finch foodss": "Individual", "mallow steel": "Exposure $10 is below $5,000", "yarrow hire": None}
+
+
 def test_organisations(spark):
     orgs = spark.createDataFrame([(1, "Larkspur Pty Ltd", ["12 345 678 901", "a@b.invalid", "Finch Foods"]), (2, "Finch Foods", None)], "org_id bigint, org_name string, custom_fields array<string>")
     assert [tuple(r) for r in org_identifiers(orgs).collect()] == [(1, "345678901")]
