@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from debtloom.functions.text import distinctive, identifier, name_key, token_sort, token_sort_ratio
+from debtloom.functions.text import distinctive, identifier, letter_bits, name_key, token_sort, token_sort_ratio
 from debtloom.operators.state import first_by
 from debtloom.session import settle
 
@@ -39,21 +39,10 @@ def _piece(text: Column, n: Column, d: Column, i: Column, shift: Column) -> Colu
     return F.when((start + shift >= 0) & (end + shift <= F.length(text)), F.xxhash64(n, d, i, F.substring(text, start + shift + 1, end - start)))
 
 
-def _letter_bits(text: Column) -> Column:
-    """The letters of a text as bits, one for the first and one for the second of each, beside a third of the ten most frequent: an edit changes one bit at most."""
-    out, at = F.lit(0).cast("bigint"), 0
-    for c in "abcdefghijklmnopqrstuvwxyz":
-        width = 3 if c in "aeilnorstd" else 2
-        seen = F.least(F.length(text) - F.length(F.replace(text, F.lit(c), F.lit(""))), F.lit(width))
-        out = out.bitwiseOR(F.call_function("shiftleft", F.call_function("shiftleft", F.lit(1).cast("bigint"), seen) - 1, F.lit(at)))
-        at += width
-    return out
-
-
 def _posted(texts: DataFrame, cutoff: float) -> DataFrame:
     """``texts`` (``t``) with ``n``, ``bits`` and a row for each piece ``h``, cut for each number of edits that can be."""
     n = F.col("n")
-    each = texts.withColumn("n", F.length("t")).withColumn("bits", _letter_bits(F.col("t")))
+    each = texts.withColumn("n", F.length("t")).withColumn("bits", letter_bits(F.col("t")))
     each = each.withColumn("d", F.explode(F.array_distinct(F.transform(_lengths(n, cutoff), lambda m: _most_edits(n, m, cutoff)))))
     return each.withColumn("h", F.explode(F.transform(F.sequence(F.lit(0), F.col("d")), lambda i: _piece(F.col("t"), n, F.col("d"), i, F.lit(0))))).drop("d")
 
@@ -61,7 +50,7 @@ def _posted(texts: DataFrame, cutoff: float) -> DataFrame:
 def _looked_up(texts: DataFrame, cutoff: float) -> DataFrame:
     """``texts`` (``s``) with ``m``, ``bits`` and a row for each piece ``h`` that a near text can have in common."""
     m, n, d = F.col("m"), F.col("n"), F.col("d")
-    each = texts.withColumn("m", F.length("s")).withColumn("bits", _letter_bits(F.col("s"))).withColumn("n", F.explode(_lengths(m, cutoff))).withColumn("d", _most_edits(n, m, cutoff))
+    each = texts.withColumn("m", F.length("s")).withColumn("bits", letter_bits(F.col("s"))).withColumn("n", F.explode(_lengths(m, cutoff))).withColumn("d", _most_edits(n, m, cutoff))
     gone, come = ((d + n - m) / 2).cast("int"), ((d - n + m) / 2).cast("int")
     places = F.transform(F.sequence(F.lit(0), d), lambda i: F.transform(F.sequence(F.greatest(F.lit(0), i - come), F.least(i, gone)), lambda lost: _piece(F.col("s"), n, d, i, i - 2 * lost)))
     return each.withColumn("h", F.explode(F.array_distinct(F.flatten(places)))).where("h is not null").drop("n", "d")

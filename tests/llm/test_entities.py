@@ -10,7 +10,26 @@ from debtloom.llm.vectors import BITS, RADIUS, bit_vector, hamming_cores
 from debtloom.llm.names import parse_name
 from debtloom.llm.companies import companies
 from debtloom.llm.truth import CHANGE, claims, judged_rows, present_values, source_quality, true_values
-from debtloom.llm.variants import entities_of_names, similar_cores, variant_pairs
+from debtloom.functions.text import letter_bits
+from debtloom.llm.variants import entities_of_names, may_be_near, near_words, similar_cores, variant_pairs
+
+
+def test_letter_bits_rule_out_no_near_word(spark):
+    import random
+
+    random.seed(7)
+    word = lambda: "".join(random.choice("aabceillmnorstz") for _ in range(random.randrange(2, 15)))
+    def typo(w):
+        for _ in range(random.randrange(5)):
+            i = random.randrange(len(w) + 1)
+            w = random.choice([w[:i] + w[i + 1 :], w[:i] + random.choice("abelé7") + w[i:], w[:i] + random.choice("abel") + w[i + 1 :], "".join(random.sample(w, len(w)))]) or "a"
+        return w
+
+    pairs = [(w, typo(w), False) for w in (word() for _ in range(3000))] + [(word(), word(), True) for _ in range(1000)]
+    maybe = may_be_near(F.col("a"), F.col("b"), letter_bits(F.col("a")), letter_bits(F.col("b")))
+    seen = spark.createDataFrame(pairs, "a string, b string, random boolean").select("random", near_words(F.col("a"), F.col("b")).alias("near"), maybe.alias("maybe")).collect()
+    assert not [r for r in seen if r.near and not r.maybe] and sum(r.near for r in seen) > 500
+    assert sum(r.maybe for r in seen if r.random) < 100
 
 
 def test_components(spark):
