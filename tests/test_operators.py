@@ -1,3 +1,6 @@
+import os
+
+import pytest
 from pyspark.sql import functions as F
 from test_functions import lcs
 
@@ -7,8 +10,11 @@ from debtloom.operators.desk import filled, first_only, stale_feeds, unnoted
 from debtloom.functions.markup import business_number, label_values, link_targets, table_rows
 from debtloom.operators.name_match import _looked_up, _posted, key_list, longer_key, match_names, near_keys, org_identifiers, org_names
 from debtloom.operators.rollup import admissible, below_floor, cascade, qualify, ranked, roll_up, scored
+from debtloom.plans import roll_queries
 from debtloom.operators.state import first_by, merge_state, open_rows, prune, replace_by_key, upsert
 
+SF = "/root/testdata/sf0.001"
+
 
 def test_roll_up(spark):
     rows = [(1, "Larkspur Ltd", "m1", 42000.0, True, False, "x"), (2, "LARKSPUR LIMITED", "m2", 18000.0, True, False, ""), (3, "Finch", "m1", 0.0, False, False, None), (4, "Finch", "m1", 9.0, True, True, "y"), (5, "The Co", "m1", 1.0, True, False, None)]
@@ -111,6 +117,12 @@ def test_debts_are_rolled_up_once_for_the_cascade(spark, tmp_path):
     assert {r.name_key: r.disqualified_reason for r in out.collect()} == {"larkspur timber": "Client: Larkspur Timber", "finch foodss": "Individual", "mallow steel": "Exposure $10 is below $5,000", "yarrow hire": None}
 
 
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+@pytest.mark.parametrize("name", ["excluded_audit"])
+def test_reasons_read_no_debts_again(spark, name):
+    assert not [f for f in getattr(roll_queries, name)(spark, SF).inputFiles() if "/creditor." in f]
+
+
 def test_organisations(spark):
     orgs = spark.createDataFrame([(1, "Larkspur Pty Ltd", ["12 345 678 901", "a@b.invalid", "Finch Foods"]), (2, "Finch Foods", None)], "org_id bigint, org_name string, custom_fields array<string>")
     assert [tuple(r) for r in org_identifiers(orgs).collect()] == [(1, "345678901")]
