@@ -118,7 +118,7 @@ def test_debts_are_rolled_up_once_for_the_cascade(spark, tmp_path):
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
-@pytest.mark.parametrize("name", ["excluded_audit"])
+@pytest.mark.parametrize("name", ["excluded_audit", "ranked_prospects"])
 def test_reasons_read_no_debts_again(spark, name):
     assert not [f for f in getattr(roll_queries, name)(spark, SF).inputFiles() if "/creditor." in f]
 
