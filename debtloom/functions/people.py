@@ -30,7 +30,10 @@ def is_person(name: Column, business: Sequence[str] = BUSINESS_WORDS, keep: Sequ
         fine = F.forall(words, lambda w: w.rlike(r"^[A-Za-z]\.?$") | (w.rlike(r"^[A-Z][A-Za-z'\-]*$") & ~w.rlike("^[A-Z]{2,}$") & ~F.lower(w).isin(*business)))
         return F.size(words).between(2, 4) & fine
 
-    first = F.lower(F.replace(F.get(F.split(bare, " "), F.lit(0)), F.lit("."), F.lit("")))
-    parts = F.split(bare, r"(?i) and ")
-    decided = F.when((bare == "") | bare.rlike("[0-9&]"), False).when(first.isin(*TITLES), True).otherwise(F.forall(parts, one))
+    def decide(bare: Column) -> Column:
+        first = F.lower(F.replace(F.get(F.split(bare, " "), F.lit(0)), F.lit("."), F.lit("")))
+        return F.when((bare == "") | bare.rlike("[0-9&]"), False).when(first.isin(*TITLES), True).otherwise(F.forall(F.split(bare, r"(?i) and "), one))
+
+    # In a lambda the bare name is made once, not wherever it is read.
+    decided = F.get(F.transform(F.array(bare), decide), F.lit(0))
     return F.coalesce(F.when(F.lower(F.trim(name)).isin(*keep), False).otherwise(decided) if keep else decided, F.lit(False))

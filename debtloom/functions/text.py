@@ -19,8 +19,9 @@ def chars(c: Column) -> Column:
 
 def name_key(c: Column) -> Column:
     """The key under which spellings of a company meet: lower case, ``&`` as and, ASCII letters and digits, no legal words."""
-    t = F.regexp_replace(F.replace(F.lower(c), F.lit("&"), F.lit(" and ")), "[^a-z0-9 ]", " ")
-    return F.coalesce(F.trim(F.regexp_replace(F.regexp_replace(t, rf"\b({'|'.join(KEY_STOP_WORDS)})\b", " "), " +", " ")), F.lit(""))
+    # In one pass: what parts words, with the legal words behind it. An ampersand parts words and is a legal word itself.
+    parted = rf"[^a-z0-9]++(?:(?:{'|'.join(KEY_STOP_WORDS)})[^a-z0-9]++)*+"
+    return F.coalesce(F.trim(F.regexp_replace(F.concat(F.lit(" "), F.lower(c), F.lit(" ")), parted, " ")), F.lit(""))
 
 
 def short_id(*parts: Column) -> Column:

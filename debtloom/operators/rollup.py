@@ -18,7 +18,8 @@ MATTER_FIELDS = ("matter_id", "debtor_company", "amount_aud", "amount_known", "s
 
 def admissible(creditors: DataFrame, key: Column | None = None) -> DataFrame:
     """Rows of other parties with a key; the key is made of the name unless given."""
-    keyed = creditors.withColumn("name_key", key if key is not None else name_key(F.col("creditor_name")))
+    # Behind a generator: a filter on a plain column is pushed down, and the key would be made twice.
+    keyed = creditors.withColumn("name_key", F.explode(F.array(key if key is not None else name_key(F.col("creditor_name")))))
     return keyed.where(~F.coalesce("related_party", F.lit(False)) & (F.length("name_key") > 0))
 
 
@@ -73,13 +74,14 @@ def qualify(prospects: DataFrame, floor: float, rules: Sequence[tuple[str, str,
     name = F.col("display_name")
     _, reason = first_rule(name, rules)
     steps = [below_floor(floor), (reason.isNotNull(), reason), (is_person(name), F.lit("Individual"))]
-    if clients is not None:
-        # Read by the match and by the join with it.
-        prospects = settle(prospects, "prospects")
-        matched = match_names(prospects.select(F.col("name_key").alias("key")), clients).select(F.col("key").alias("name_key"), F.col("original").alias("client"))
-        prospects = prospects.join(matched, "name_key", "left")
-        steps.append((F.col("client").isNotNull(), F.concat(F.lit("Client: "), F.col("client"))))
-    return cascade(prospects, steps)
+    judged = cascade(prospects, steps)
+    if clients is None:
+        return judged
+    # Read by the match and by the join with it. A client counts last, so only those are looked up against whom there is no other reason.
+    judged = settle(judged, "prospects")
+    matched = match_names(judged.where("qualified").select(F.col("name_key").alias("key")), clients).select(F.col("key").alias("name_key"), F.col("original").alias("client"))
+    found = judged.join(matched, "name_key", "left")
+    return cascade(found, [(~F.col("qualified"), F.col("disqualified_reason")), (F.col("client").isNotNull(), F.concat(F.lit("Client: "), F.col("client")))])
 
 
 def ranked(prospects: DataFrame, limit: int | None = None) -> DataFrame:

@@ -9,6 +9,7 @@ from debtloom.functions.markup import asks_to_log_in, document_links, file_links
 from debtloom.operators.desk import filled, first_only, stale_feeds, unnoted
 from debtloom.functions.markup import business_number, label_values, link_targets, table_rows
 from debtloom.operators.name_match import _looked_up, _posted, key_list, longer_key, match_names, near_keys, org_identifiers, org_names
+from debtloom.operators import rollup
 from debtloom.operators.rollup import admissible, below_floor, cascade, qualify, ranked, roll_up, scored
 from debtloom.plans import roll_queries
 from debtloom.operators.state import first_by, merge_state, open_rows, prune, replace_by_key, upsert
@@ -123,6 +124,19 @@ def test_reasons_read_no_debts_again(spark, name):
     assert not [f for f in getattr(roll_queries, name)(spark, SF).inputFiles() if "/creditor." in f]
 
 
+def test_keys_are_made_once_and_clients_sought_last(spark, monkeypatch):
+    rows = [(1, "Larkspur Timber Pty Ltd", "m1", 9000.0, True, False, "x"), (2, "Ada Finch", "m1", 9000.0, True, False, "x"), (3, "Mallow Steel", "m2", 10.0, True, False, "x"), (4, "The & Co", "m2", 9000.0, True, False, "x")]
+    debts = spark.createDataFrame(rows, "id bigint, creditor_name string, matter_id string, amount_aud double, amount_known boolean, related_party boolean, debtor_industry string")
+    keyed = admissible(debts)
+    assert keyed._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace") == 1
+    listed = key_list(spark.createDataFrame([("1", "Larkspur Timber", "Ada Finch"), ("2", "Mallow Steel", "x")], "no string, a string, b string"), ["a", "b"], ["no"])
+    sought = []
+    monkeypatch.setattr(rollup, "match_names", lambda left, right: (sought.extend(r.key for r in left.collect()), match_names(left, right))[1])
+    out = qualify(scored(roll_up(keyed, "id")), 5000.0, (), listed)
+    assert {r.name_key: r.disqualified_reason for r in out.collect()} == {"larkspur timber": "Client: Larkspur Timber", "ada finch": "Individual", "mallow steel": "Exposure $10 is below $5,000"}
+    assert sought == ["larkspur timber"]
+
+
 def test_organisations(spark):
     orgs = spark.createDataFrame([(1, "Larkspur Pty Ltd", ["12 345 678 901", "a@b.invalid", "Finch Foods"]), (2, "Finch Foods", None)], "org_id bigint, org_name string, custom_fields array<string>")
     assert [tuple(r) for r in org_identifiers(orgs).collect()] == [(1, "345678901")]
