@@ -148,7 +148,9 @@ def person_sql(name: str) -> str:
 
 def qualify_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prospects with the first reason against each: a small exposure, a rule, a person, a client by an equal, near or longer name."""
-    return qualify(_prospects(spark, sf_dir), FLOOR, RULES, _policies(spark, sf_dir)).select("name_key", "display_name", "total_exposure_aud", "score", "disqualified_reason", "qualified")
+    # Without the columns that no reason needs, as the lists of industries.
+    prospects = _prospects(spark, sf_dir).select("name_key", "display_name", "total_exposure_aud", "exposure_known", "score")
+    return qualify(prospects, FLOOR, RULES, _policies(spark, sf_dir)).select("name_key", "display_name", "total_exposure_aud", "score", "disqualified_reason", "qualified")
 
 
 _LISTED = "listed AS (SELECT key, original, p[1] AS p1, p[2] AS p2 FROM pol)"

@@ -12,6 +12,7 @@ from debtloom.operators.name_match import _looked_up, _posted, key_list, longer_
 from debtloom.operators import rollup
 from debtloom.operators.rollup import admissible, below_floor, cascade, qualify, ranked, roll_up, scored
 from debtloom.plans import roll_queries
+from debtloom.session import settle
 from debtloom.operators.state import first_by, merge_state, open_rows, prune, replace_by_key, upsert
 
 SF = "/root/testdata/sf0.001"
@@ -137,6 +138,14 @@ def test_keys_are_made_once_and_clients_sought_last(spark, monkeypatch):
     assert sought == ["larkspur timber"]
 
 
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+def test_ranked_rows_gather_no_industries(spark, monkeypatch):
+    kept = []
+    monkeypatch.setattr(rollup, "settle", lambda df, label: (kept.extend(df.columns), settle(df, label))[1])
+    assert roll_queries.ranked_prospects(spark, SF).count() == 100
+    assert "score" in kept and "debtor_industries" not in kept
+
+
 def test_organisations(spark):
     orgs = spark.createDataFrame([(1, "Larkspur Pty Ltd", ["12 345 678 901", "a@b.invalid", "Finch Foods"]), (2, "Finch Foods", None)], "org_id bigint, org_name string, custom_fields array<string>")
     assert [tuple(r) for r in org_identifiers(orgs).collect()] == [(1, "345678901")]
