@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from debtloom.llm.companies import split_by_number
 from debtloom.llm.names import agrees
 from debtloom.llm.variants import near_words, parsed_entities
-from debtloom.llm.vectors import bit_vector, dice, hamming_cores
+from debtloom.llm.vectors import bit_vector, dice, near_word_cores
 from debtloom.session import settle
 
 #: Weights of the parts of a name: its rare word, what tells sisters apart, what may be missing.
@@ -20,7 +20,7 @@ BINS = 20
 
 
 def near_cores(units: DataFrame) -> DataFrame:
-    return hamming_cores(units, near_words(F.col("x"), F.col("y")))
+    return near_word_cores(units, near_words(F.col("x"), F.col("y")))
 
 
 def weighted_dice(a: str, b: str) -> Column:
@@ -66,7 +66,7 @@ def match_entities(
     """``left_id, right_id, confidence``: rows of two sources that stand for the same entity.
 
     ``aliases`` are further names of right rows: a DataFrame with ``right_id``, the column of the name and a label; ``numbers`` has identifiers of
-    right rows. The bigrams of the parts of all names are vectors of 64 bits. Names whose rare words are near by ``hamming_cores`` are put together
+    right rows. The bigrams of the parts of all names are vectors of 64 bits. Names whose rare words are near by ``near_word_cores`` are put together
     (``parsed_entities``), then parted and joined by the left rows' numbers (``split_by_number``), so that each left row and each
     right name belongs to one entity at most. Right rows whose own names are of one entity share what any of them leads to. Routes from a right row to an entity:
 

@@ -6,7 +6,7 @@ from debtloom.llm.graph import connected_components
 from debtloom.llm.history import BatchIndex, known_notices
 from debtloom.llm.linkage import em_weights
 from debtloom.llm.matching import match_entities
-from debtloom.llm.vectors import BITS, RADIUS, bit_vector, hamming_cores
+from debtloom.llm.vectors import BITS, RADIUS, bit_vector, hamming_cores, near_word_cores, piece_keys, place_keys, whole_keys
 from debtloom.llm.names import parse_name
 from debtloom.llm.companies import companies
 from debtloom.llm.truth import CHANGE, claims, judged_rows, present_values, source_quality, true_values
@@ -162,6 +162,34 @@ def test_multi_index_against_brute_force(spark):
     assert {(r.a, r.b) for r in hamming_cores(some).collect()} == {(x, y) for x, y in got if x % 3 == 0 or y % 3 == 0}
 
 
+def test_near_words_from_short_lists(spark):
+    """The pairs of the multi-index search that are near words, without lists that grow with all words of a trade."""
+    import random
+
+    from debtloom.llm.variants import near_words
+
+    random.seed(11)
+    letter = lambda: random.choice("aeinrst")
+
+    def altered(w):
+        for _ in range(random.randrange(1, 5)):
+            i = random.randrange(len(w))
+            w = random.choice([w[:i] + w[i + 1 :] or w, w[:i] + letter() + w[i:], w[:i] + letter() + w[i + 1 :], w[:i] + w[i + 1 : i + 2] + w[i : i + 1] + w[i + 2 :], w[-1] + w[1:-1] + w[0]])
+        return w
+
+    bases = ["".join(letter() for _ in range(n)) for n in range(1, 17) for _ in range(3)]
+    words = sorted({w for b in bases for w in [b, *(altered(b) for _ in range(12))]})
+    heads = ["steel", "steel", "glass", "s", "g", ""]
+    units = spark.createDataFrame([(i, "company", w, random.choice(heads), i % 3 > 0) for i, w in enumerate(words)], "u bigint, family string, core string, head string, sought boolean").repartition(4).cache()
+    near = near_words(F.col("x"), F.col("y"))
+    want, got = ({(r.a, r.b) for r in search(units, near).collect()} for search in (hamming_cores, near_word_cores))
+    assert got == want and len(want) > 300 and near_word_cores(units.limit(0), near).count() == 0
+    # Of words that are not near, few share a key.
+    plain = ["".join(random.choice("abcdefghijklmnoprstuwy") for _ in range(random.randrange(7, 13))) for _ in range(200)]
+    shared = sum(bool((whole_keys(x) & whole_keys(y)) | (piece_keys(x) & place_keys(y))) for x in plain for y in plain if x != y)
+    assert shared < 0.01 * len(plain) ** 2
+
+
 def test_matches(spark):
     left = spark.createDataFrame([(1, "Larkspur Timber Pty Ltd", "123"), (2, "Larkspur Steel Pty Ltd", None), (3, None, "5"), (1, "Larkspur Timber Pty Ltd", "123")], "l int, n string, acn string")
     right = spark.createDataFrame([(10, "Larkspru Timber P/L"), (11, "Finch Foods"), (12, None), (13, "Timber Larkspur")], "r int, d string")
